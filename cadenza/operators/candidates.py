@@ -85,12 +85,12 @@ def merge_candidates(similar: DataFrame, playlists: DataFrame, popular: DataFram
     """
     ranked = F.array_sort(F.collect_list(F.struct("cand_rank", "track_uri", "t2v_score", "popularity")))
     per = similar.groupBy("pid").agg(ranked.alias("_sim"))
-    lists = playlists.join(per, "pid", "left").withColumn(
-        "_uris", F.coalesce(F.col("_sim.track_uri"), F.array().cast("array<string>")))
+    known = F.coalesce(F.col("_sim.track_uri"), F.array().cast("array<string>"))
+    lists = playlists.join(per, "pid", "left").withColumn("_more", not_seen(popular_list(popular), known))
     scored = F.transform(F.col("_sim"), lambda s: F.struct(
         s["track_uri"].alias("track_uri"), s["t2v_score"].alias("t2v_score"),
         s["popularity"].alias("popularity")))
-    backfill = F.transform(not_seen(popular_list(popular), F.col("_uris")), lambda t: F.struct(
+    backfill = F.transform("_more", lambda t: F.struct(
         t.alias("track_uri"), F.lit(0.0).alias("t2v_score"), F.lit(None).cast("bigint").alias("popularity")))
     empty = F.array().cast("array<struct<track_uri:string,t2v_score:double,popularity:bigint>>")
     merged = F.slice(F.concat(F.coalesce(scored, empty), backfill), 1, cap)

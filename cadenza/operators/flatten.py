@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.columns import epoch_to_ts, initial
+
 
 def explode_playlists(raw: DataFrame) -> DataFrame:
     """One row per playlist; empty and missing arrays vanish."""
@@ -39,25 +41,31 @@ def playlists_with_tracks(raw: DataFrame) -> DataFrame:
 
 
 def positioned_tracks(playlists: DataFrame) -> DataFrame:
-    """(pid, track_uri, pos) with the position taken from the array index."""
-    return (playlists.select("pid", F.posexplode("tracks").alias("pos", "t"))
-            .select("pid", F.col("t.track_uri").alias("track_uri"), "pos"))
+    """(pid, pos, track fields). The position is the track's own field, or its
+    place in the array where the field is missing."""
+    return (playlists.select("pid", F.posexplode("tracks").alias("_at", "t"))
+            .select("pid", F.coalesce("t.pos", "_at").alias("pos"), "t.track_uri", "t.track_name",
+                    "t.artist_name", "t.album_uri"))
 
 
 def first_playlists(playlists: DataFrame, max_playlists: int) -> DataFrame:
-    """Bounded read: the first playlists by id."""
-    return playlists.orderBy("pid").limit(max_playlists)
+    """Bounded read: the first playlists by id, with all their tracks."""
+    chosen = playlists.select("pid").distinct().orderBy("pid").limit(max_playlists)
+    return playlists.join(chosen, "pid", "left_semi")
 
 
-def silver_tracks(raw: DataFrame) -> DataFrame:
-    """Trimmed, typed, deduplicated playlist-track rows."""
-    from cadenza.functions.columns import epoch_to_ts, initial
-    rows = explode_playlists(raw).select("playlist.*").select(
-        F.col("pid").alias("playlist_id"), "name", "num_tracks", "num_followers",
-        "modified_at", F.explode("tracks").alias("t"))
+def silver_rows(rows: DataFrame) -> DataFrame:
+    """Trimmed, typed, deduplicated rows from (pid, name, num_tracks,
+    num_followers, modified_at, t: track struct)."""
     return rows.select(
-        "playlist_id", F.trim("name").alias("playlist_name"), "num_tracks", "num_followers",
-        epoch_to_ts(F.col("modified_at")).alias("modified_date"),
+        F.col("pid").alias("playlist_id"), F.trim("name").alias("playlist_name"),
+        "num_tracks", "num_followers", epoch_to_ts(F.col("modified_at")).alias("modified_date"),
         *[F.trim(f"t.{c}").alias(c) for c in ("track_uri", "track_name", "artist_uri", "artist_name")],
         F.col("t.duration_ms").alias("duration_ms"),
         initial(F.col("t.artist_name")).alias("artist_partition")).dropDuplicates()
+
+
+def silver_tracks(raw: DataFrame) -> DataFrame:
+    """Silver rows from raw slices."""
+    return silver_rows(explode_playlists(raw).select("playlist.*").select(
+        "pid", "name", "num_tracks", "num_followers", "modified_at", F.explode("tracks").alias("t")))

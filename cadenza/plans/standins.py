@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.operators.flatten import silver_rows
 from cadenza.operators.ordering import BLOCK, ranked_positions
 from cadenza.workspace import materialise, run_dir
 
@@ -91,13 +92,31 @@ def raw_playlists(spark: SparkSession, sf: str) -> DataFrame:
     return orders.withColumn("pid", F.col("o_orderkey")).join(nested, "pid", "left").select(
         number.alias("slice"),
         F.struct(
-            _playlist_name().alias("name"), F.lit("false").alias("collaborative"), "pid",
-            F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("modified_at"),
-            F.floor(F.col("o_totalprice") / 10000).cast("int").alias("num_tracks"),
-            F.lit(1).alias("num_albums"), F.col("o_custkey").cast("int").alias("num_followers"),
+            "pid", *_playlist_scalars(), F.lit("false").alias("collaborative"), F.lit(1).alias("num_albums"),
             F.lit(None).cast("string").alias("description"), "tracks").alias("playlist"))
 
 
+def silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver rows straight from the tables, without the JSON detour."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
+    names = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    rows = (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+            .join(names, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(F.col("o_orderkey").alias("pid"), *_playlist_scalars(), F.struct(*_track_columns()).alias("t")))
+    return silver_rows(rows)
+
+
+def _playlist_scalars() -> list[Column]:
+    return [
+        _playlist_name().alias("name"),
+        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("modified_at"),
+        F.floor(F.col("o_totalprice") / 10000).cast("int").alias("num_tracks"),
+        F.col("o_custkey").cast("int").alias("num_followers"),
+    ]
+
+
 def write_slices(spark: SparkSession, sf: str) -> str:
     """One JSON object per file, at most ``SLICE_PLAYLISTS`` playlists each."""
     info = F.struct(F.lit("derived").alias("tag"), F.lit(0).cast("bigint").alias("generated_on"),
@@ -146,6 +165,7 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def message_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The same messages as a file stream over the events table."""
+    """The same messages as a file stream over the events table (the braces
+    make the path a pattern, which may name one file or a directory)."""
     schema = table(spark, sf, "events").schema
-    return event_messages(spark.readStream.schema(schema).parquet(f"{sf}/events.parquet"))
+    return event_messages(spark.readStream.schema(schema).parquet(f"{sf}/{{events}}.parquet"))

@@ -49,9 +49,9 @@ def first_files(spark: SparkSession, folder: str, max_files: int, pattern: str =
 
 
 def read_first_slices(spark: SparkSession, folder: str, max_files: int,
-                      schema: T.StructType = SLICE) -> DataFrame:
+                      schema: T.StructType = SLICE, pattern: str = "*.json") -> DataFrame:
     """Bounded slice read: the first ``max_files`` files by name."""
-    return read_slices(spark, first_files(spark, folder, max_files), schema)
+    return read_slices(spark, first_files(spark, folder, max_files, pattern), schema)
 
 
 def read_with_source(spark: SparkSession, path: str, schema: T.StructType = SLICE) -> DataFrame:
