@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.functions.columns import all_present, expand_struct, normalise_text
+from cadenza.functions.columns import all_present, normalise_text
 from cadenza.schemas import EVENT
 
 # Required fields, event type and dedup key: fixed values.
@@ -16,9 +16,12 @@ DEDUP_KEY = ["pid", "track_uri", "event_ts", "event_type"]
 
 
 def decode_events(kv: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
-    """Event columns from a (key, value) frame; malformed values become nulls."""
-    parsed = kv.select(F.from_json(F.col("value").cast("string"), schema).alias("data"))
-    return expand_struct(parsed, "data")
+    """Event columns from a (key, value) frame; malformed values become nulls.
+
+    ``inline`` keeps the filters that follow above the parse. As a plain
+    projection, every field and every filter would parse the text again.
+    """
+    return kv.select(F.inline(F.array(F.from_json(F.col("value").cast("string"), schema))))
 
 
 def parse_event_ts(events: DataFrame) -> DataFrame:

@@ -23,16 +23,19 @@ def hot_keys(df: DataFrame, keys: list[str], max_keys: int = MAX_HOT_KEYS,
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: str, spread_by: list[str],
-                how: str = "inner", rows_per_salt: int = MIN_HOT_ROWS, **hot: int) -> DataFrame:
+                how: str = "inner", rows_per_salt: int = MIN_HOT_ROWS,
+                count_on: DataFrame | None = None, **hot: int) -> DataFrame:
     """Equi-join where single keys of ``left`` may hold a large share of the rows.
 
     A hot key is spread over ``ceil(rows / rows_per_salt)`` salts and only its
     right rows are repeated, once per salt; all other keys join as usual. The
     salt is a hash of ``spread_by``, so a retried task routes rows the same way.
+    ``count_on`` is a cheaper frame with the same key counts, for a ``left``
+    that should not be computed twice.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    salts = (hot_keys(left, [on], **hot)
+    salts = (hot_keys(left if count_on is None else count_on, [on], **hot)
              .select(on, F.ceil(F.col("hot_rows") / F.lit(rows_per_salt)).cast("int").alias("_salts")))
     spread = F.pmod(F.xxhash64(*spread_by), F.coalesce("_salts", F.lit(1))).cast("int")
     lhs = (left.join(F.broadcast(salts), on, "left")

@@ -273,7 +273,7 @@ def ndcg_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 def als_top10(spark: SparkSession, sf: str) -> DataFrame:
     rec = als.fit_als(als.ratings_from(S.membership(spark, sf)))
-    decoded = als.decode_recs(als.recommend_all(rec, K), rec.users, rec.items)
+    decoded = als.decode_recs(materialise(als.recommend_all(rec, K), "recommended"), rec.users, rec.items)
     return decoded.select("pid", F.concat_ws(",", "recommendations").alias("recommendations"))
 
 
