@@ -1,7 +1,7 @@
 """Recommendation candidates: seeds, similar tracks, popular backfill, features.
 
-Per playlist everything is bounded by parameters (seeds x neighbours, the
-candidate cap), so after the seed step no playlist is large.
+Per playlist everything after the seed step is bounded by parameters (seeds x
+neighbours, the candidate cap), unless the caller brings its own seeds.
 """
 
 from __future__ import annotations
@@ -46,13 +46,16 @@ def expand_seeds(seeds: DataFrame, lists: DataFrame) -> DataFrame:
             .select("pid", F.col("c.neighbour").alias("track_uri"), "c.score", "c.popularity"))
 
 
-def sum_similarity(expanded: DataFrame) -> DataFrame:
+def sum_similarity(expanded: DataFrame, few_seeds: bool = True) -> DataFrame:
     """Summed similarity per (playlist, candidate).
 
-    Shuffled by playlist, not by pair: the group is small (seeds x neighbours),
-    and the ranking that follows then needs no further shuffle.
+    With few seeds a playlist's rows are few (seeds x neighbours): shuffled by
+    playlist, not by pair, they need no further shuffle for the ranking that
+    follows. With seeds in unlimited number the rows are combined and shuffled
+    by pair, so that a very long playlist is not one task.
     """
-    return (expanded.repartition("pid").groupBy("pid", "track_uri")
+    rows = expanded.repartition("pid") if few_seeds else expanded
+    return (rows.groupBy("pid", "track_uri")
             .agg(F.round(F.sum("score"), 6).alias("t2v_score"), F.max("popularity").alias("popularity")))
 
 
@@ -62,8 +65,8 @@ def top_candidates(scores: DataFrame, k: int = 500) -> DataFrame:
     return best.withColumn("cand_rank", F.col("cand_rank") - 1)
 
 
-def candidates(seeds: DataFrame, lists: DataFrame, k: int = 500) -> DataFrame:
-    return top_candidates(sum_similarity(expand_seeds(seeds, lists)), k)
+def candidates(seeds: DataFrame, lists: DataFrame, k: int = 500, few_seeds: bool = True) -> DataFrame:
+    return top_candidates(sum_similarity(expand_seeds(seeds, lists), few_seeds), k)
 
 
 def popular_list(popular: DataFrame) -> Column:

@@ -16,7 +16,7 @@ from cadenza.schemas import CORRUPT, SLICE
 from cadenza.sinks.external import duplicate_keys, write_collection
 from cadenza.sinks.tables import create_or_replace, write_partitioned, write_table
 from cadenza.sources import slices, tables
-from cadenza.workspace import run_dir
+from cadenza.workspace import materialise, run_dir
 
 
 def stamp(col: str) -> Column:
@@ -111,7 +111,7 @@ def playlist_length_buckets(spark: SparkSession, sf: str) -> DataFrame:
 def partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = run_dir(spark, "playlist-features")
     bucketed = features.with_length_bucket(_playlists(spark, sf), 3)
-    write_partitioned(bucketed, path, ["length_bucket"], spread=8, spread_by=["playlist_id"])
+    write_partitioned(bucketed, path, ["length_bucket"])
     back = tables.read_table(spark, path, "*.parquet")
     return back.groupBy(F.col("length_bucket").cast("int").alias("length_bucket")).agg(
         F.count(F.lit(1)).alias("n_playlists"), F.sum("playlist_length").alias("n_tracks"))
@@ -127,8 +127,7 @@ def artists_by_appearances(spark: SparkSession, sf: str) -> DataFrame:
 
 def silver_by_initial(spark: SparkSession, sf: str) -> DataFrame:
     path = run_dir(spark, "silver")
-    write_partitioned(S.silver(spark, sf), path, ["artist_partition"], spread=16,
-                      spread_by=["playlist_id", "track_uri"])
+    write_partitioned(S.silver(spark, sf), path, ["artist_partition"])
     return tables.read_table(spark, path).groupBy("artist_partition").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("artist_name").alias("n_artists"))
 
@@ -171,7 +170,7 @@ def _entity(name: str):
 
 
 def entity_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return entities.entity_counts(S.flat(spark, sf))
+    return entities.entity_counts(materialise(S.flat(spark, sf), "flat"))
 
 
 def duplicate_key_check(spark: SparkSession, sf: str) -> DataFrame:

@@ -249,7 +249,7 @@ def _judged(spark: SparkSession, sf: str, k: int) -> DataFrame:
     links, near, popularity, _ = _corpus(spark, sf)
     roles = materialise(splits.seed_truth_split(links), "roles")
     seeds = roles.filter(F.col("role") == "seed").select("pid", "track_uri")
-    preds = candidates.candidates(seeds, candidates.neighbour_lists(near, popularity, NEAR), k)
+    preds = candidates.candidates(seeds, candidates.neighbour_lists(near, popularity, NEAR), k, few_seeds=False)
     truth = roles.filter(F.col("role") == "truth").select("pid", "track_uri")
     return metrics.ranking_metrics(preds.withColumnRenamed("cand_rank", "rank"), truth, k)
 

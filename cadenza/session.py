@@ -14,8 +14,14 @@ RUNTIME_SETTINGS = {
     # Split a skewed join partition even when that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Dedup and window state beyond the executor heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Shuffled bytes one task should get before adaptive coalescing.
+SHUFFLE_TASK_BYTES = 128 * 1024 ** 2
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -24,6 +30,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Initial shuffle partitions for an input: enough for small tasks, which
+    adaptive execution merges where they turn out smaller still."""
+    return max(cores, -(-input_bytes // SHUFFLE_TASK_BYTES))
+
+
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     """Create (or reuse) a session with the engine's settings and no web UI."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")

@@ -15,23 +15,15 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, cols: list[str], spread: int = 1,
-                      spread_by: list[str] | None = None) -> None:
-    """Partitioned Parquet.
+def write_partitioned(df: DataFrame, path: str, cols: list[str]) -> None:
+    """Partitioned Parquet. Rows are rebalanced by partition value: few files
+    for small values, as many tasks as needed for a dominant one."""
+    df.hint("rebalance", *map(F.col, cols)).write.mode("overwrite").partitionBy(*cols).parquet(path)
 
-    Rows are first brought together by partition value so each value gets few
-    files; ``spread`` tasks share one value, which keeps a hot value from
-    landing in a single task.
-    """
-    salt = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(spread))
-    (df.repartition(*cols, salt).write.mode("overwrite").partitionBy(*cols).parquet(path))
 
-
-def replace_partitions(df: DataFrame, path: str, col: str, spread: int = 8,
-                       spread_by: list[str] | None = None) -> None:
+def replace_partitions(df: DataFrame, path: str, col: str) -> None:
     """Overwrite only the partitions present in ``df``: a rerun changes nothing."""
-    salt = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(spread))
-    (df.repartition(F.col(col), salt).write.mode("overwrite")
+    (df.hint("rebalance", F.col(col)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
 
 

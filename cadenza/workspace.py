@@ -28,8 +28,10 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; never reused, so reruns do not collide."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; never reused, so reruns do not
+    collide. All paths of one application share a folder that can be expired
+    when the application is over."""
+    return f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def use_checkpoints(spark: SparkSession) -> None:

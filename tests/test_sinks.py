@@ -112,7 +112,7 @@ def test_length_bucket_crosses_fifty(spark):
 
 
 def test_partitioned_catalog_and_append(spark, flat, folder):
-    tables.write_partitioned(flat, f"{folder}/p", ["album_uri"], spread=4, spread_by=["pid", "track_uri"])
+    tables.write_partitioned(flat, f"{folder}/p", ["album_uri"])
     assert read_table(spark, f"{folder}/p").count() == 4
     tables.append_table(flat, f"{folder}/a")
     tables.append_table(flat, f"{folder}/a")

@@ -86,6 +86,16 @@ def test_silver_trims_types_and_deduplicates(spark, raw_dir):
     assert gold[0].popularity_score == pytest.approx(1.0)
 
 
+def test_etl_job_reports_rows_and_rejects(spark, raw_dir, folder):
+    from cadenza.plans.pipeline import run_etl, run_loading
+    report = run_etl(spark, str(raw_dir / "*.json"), f"{folder}/flat", f"{folder}/rejects")
+    assert report == {"rows": 4, "rejected_files": 2}
+    assert spark.read.parquet(f"{folder}/rejects").count() == 2
+    loaded = {}
+    run_loading(spark.read.parquet(f"{folder}/flat"), lambda df, name: loaded.update({name: df.count()}))
+    assert loaded == {"artists": 2, "albums": 1, "tracks": 3, "playlists": 2, "playlist_tracks": 3}
+
+
 def test_ingest_stream_takes_each_file_once(spark, raw_dir, folder):
     import shutil
 
