@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.ordering import first_per_key
 from cadenza.operators.skew import salted_join
+from cadenza.workspace import materialise
 
 
 def seed_tracks(links: DataFrame, n: int = 5) -> DataFrame:
@@ -40,7 +41,8 @@ def neighbour_lists(neighbours: DataFrame, popularity: DataFrame, k: int) -> Dat
 
 def expand_seeds(seeds: DataFrame, lists: DataFrame) -> DataFrame:
     """(pid, track_uri, score, popularity): every neighbour of every seed. A
-    track that is a seed of very many playlists is split over several tasks."""
+    track that is a seed of very many playlists is split over several tasks.
+    ``seeds`` is read several times; pass a stored table."""
     return (salted_join(seeds, lists, "track_uri", ["pid"])
             .select("pid", F.explode("near").alias("c"))
             .select("pid", F.col("c.neighbour").alias("track_uri"), "c.score", "c.popularity"))
@@ -98,7 +100,9 @@ def merge_candidates(similar: DataFrame, playlists: DataFrame, popular: DataFram
     empty = F.array().cast("array<struct<track_uri:string,t2v_score:double,popularity:bigint>>")
     merged = F.slice(F.concat(F.coalesce(scored, empty), backfill), 1, cap)
     rows = (lists.select(*playlists.columns, merged.alias("_merged"))
-            .select(*playlists.columns, F.posexplode("_merged").alias("cand_rank", "c"))
+            # The plain form would add a filter that builds every list twice.
+            .select(*playlists.columns, F.posexplode_outer("_merged").alias("cand_rank", "c"))
+            .filter(F.col("cand_rank").isNotNull())
             .select(*playlists.columns, "cand_rank", "c.*"))
     listed = popular.select("track_uri", F.col("popularity").alias("_popular"))
     return (rows.join(F.broadcast(listed), "track_uri", "left")
@@ -123,7 +127,7 @@ def candidate_features(links: DataFrame, neighbours: DataFrame, popularity: Data
     playlist, seeds included.
     """
     rows = links if only is None else links.join(only.select("pid"), "pid", "left_semi")
-    seeds = seed_tracks(rows, top_seed)
+    seeds = materialise(seed_tracks(rows, top_seed), "seeds")
     per_playlist = (rows.groupBy("pid").agg(F.count(F.lit(1)).alias("playlist_len"))
                     .join(seeds.groupBy("pid").agg(F.collect_list("track_uri").alias("_seeds")), "pid"))
     lists = neighbour_lists(neighbours, popularity, per_seed)

@@ -170,16 +170,20 @@ def _corpus(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
     return links, near, popularity, features.popular_tracks(popularity, POPULAR)
 
 
+def _seeds(links: DataFrame) -> DataFrame:
+    return materialise(candidates.seed_tracks(links), "seeds")
+
+
 def candidate_scores(spark: SparkSession, sf: str) -> DataFrame:
     links, near, popularity, _ = _corpus(spark, sf)
     lists = candidates.neighbour_lists(near, popularity, NEAR)
-    return candidates.candidates(candidates.seed_tracks(links), lists, CANDS).drop("popularity")
+    return candidates.candidates(_seeds(links), lists, CANDS).drop("popularity")
 
 
 def candidate_union(spark: SparkSession, sf: str) -> DataFrame:
     links, near, popularity, popular = _corpus(spark, sf)
     lists = candidates.neighbour_lists(near, popularity, NEAR)
-    similar = candidates.candidates(candidates.seed_tracks(links), lists, CANDS)
+    similar = candidates.candidates(_seeds(links), lists, CANDS)
     return candidates.merge_candidates(similar, links.select("pid").distinct(), popular, CANDS).select(
         "pid", "track_uri", "cand_rank")
 
@@ -289,7 +293,7 @@ def als_rmse(spark: SparkSession, sf: str) -> DataFrame:
 def _recommended(spark: SparkSession, sf: str) -> DataFrame:
     links, near, popularity, _ = _corpus(spark, sf)
     lists = candidates.neighbour_lists(near, popularity, NEAR)
-    best = candidates.candidates(candidates.seed_tracks(links), lists, K)
+    best = candidates.candidates(_seeds(links), lists, K)
     ordered = F.array_sort(F.collect_list(F.struct("cand_rank", "track_uri")))
     return best.groupBy("pid").agg(F.transform(ordered, lambda r: r["track_uri"]).alias("recommendations"))
 
