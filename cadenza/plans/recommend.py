@@ -10,7 +10,7 @@ from cadenza.operators import (als, candidates, embeddings, features, indexing,
 from cadenza.operators.clean import clean_events, dedup_events
 from cadenza.plans import sqltext as Q
 from cadenza.plans import standins as S
-from cadenza.plans.pipeline import Locations, run_pipeline
+from cadenza.plans.jobs import Locations, run_chain
 from cadenza.sinks.tables import write_json, write_table
 from cadenza.sources.slices import read_json_lines
 from cadenza.sources.tables import dim_from_rows
@@ -309,12 +309,12 @@ def lookup_recommendations(spark: SparkSession, sf: str) -> DataFrame:
         "recommended_tracks", F.concat_ws(",", "recommended_tracks"))
 
 
-def pipeline_chain(spark: SparkSession, sf: str) -> DataFrame:
+def train_publish_chain(spark: SparkSession, sf: str) -> DataFrame:
     at = Locations(*(run_dir(spark, n) for n in ("features", "flat", "daily", "model", "kv")))
     events = dedup_events(clean_events(S.messages(spark, sf)))
     windows.features_5m(events).write.parquet(at.features)
     write_table(S.flat(spark, sf), at.flat)
-    return serving.from_kv(run_pipeline(spark, at, K)).select(
+    return serving.from_kv(run_chain(spark, at, K)).select(
         "pid", F.size("recommendations").alias("n_recommended"))
 
 
@@ -363,7 +363,7 @@ QUERIES = {
     "als_rmse": als_rmse,
     "recommendations_kv": recommendations_kv,
     "lookup_recommendations": lookup_recommendations,
-    "pipeline_chain": pipeline_chain,
+    "train_publish_chain": train_publish_chain,
 }
 
 _FLAT, _LINKS = f"WITH {Q.FLAT} ", f"WITH {Q.LINKS} "

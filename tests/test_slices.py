@@ -87,7 +87,7 @@ def test_silver_trims_types_and_deduplicates(spark, raw_dir):
 
 
 def test_etl_job_reports_rows_and_rejects(spark, raw_dir, folder):
-    from cadenza.plans.pipeline import run_etl, run_loading
+    from cadenza.plans.jobs import run_etl, run_loading
     report = run_etl(spark, str(raw_dir / "*.json"), f"{folder}/flat", f"{folder}/rejects")
     assert report == {"rows": 4, "rejected_files": 2}
     assert spark.read.parquet(f"{folder}/rejects").count() == 2
