@@ -17,7 +17,7 @@ STAGES = [
     ("quality_rules", stages.quality_rules),
     ("line_dedup", stages.line_dedup),
     ("minhash_dedup", stages.minhash_dedup),
-    ("packing", stages.packing),
+    ("packing", stages.packing_stage),
 ]
 
 # No SQL: the stages hash, learn and tokenise. tests/llm holds them against brute force.
