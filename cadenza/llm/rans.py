@@ -49,7 +49,7 @@ class Table:
         freq = np.maximum(1, np.floor(counts / max(counts.sum(), 1) * total)).astype(np.int64)
         off = total - int(freq.sum())
         by_size = np.argsort(-counts, kind="stable")
-        while off:  # what rounding left or took goes to or from the most frequent
+        while off and len(tokens):  # what rounding left or took goes to or from the most frequent
             for i in by_size:
                 step = off if off > 0 else -min(-off, int(freq[i]) // 2)
                 freq[i] += step
