@@ -30,7 +30,7 @@ from cadenza.llm.components import components
 from cadenza.workspace import materialise
 
 SYMBOLS, CHUNKS = 48, 11
-BLOCK = 256  # documents on one side of a block pair
+BLOCK = 512  # documents on one side of a block pair
 _LANES = SYMBOLS // 4  # 16-bit symbols, four to a long
 _SEEDS = np.random.default_rng(20240501).integers(1, 2**63, SYMBOLS).astype(np.uint64)
 _SLICE = 8192  # shingles hashed at a time: bounded memory for any text
