@@ -29,6 +29,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, or a longer one that no column has."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def fold_bucket(id_col: str, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo ``folds``; null for a null id."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))

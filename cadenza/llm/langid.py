@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.llm.common import fresh
 from cadenza.workspace import materialise
 
 DIMS = 4096
@@ -151,6 +152,6 @@ def predict(docs: DataFrame, model: Centroids, max_distance: float = MAX_DISTANC
                 distance[known] = 1 - best.max(axis=1)
             yield pd.DataFrame({"lang_pred": pred, "score": score, "rejected": (pred == "und") | (distance > max_distance)})
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    return docs.select(*kept, found(F.col(text_col)).alias("_found")).select(*kept, "_found.*")
-
+    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "rejected")]
+    held = fresh(docs.columns, "_found")
+    return docs.select(*kept, found(F.col(text_col)).alias(held)).select(*kept, f"{held}.*")

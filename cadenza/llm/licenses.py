@@ -100,7 +100,8 @@ def _count(texts: DataFrame, vocabulary: set[str]) -> tuple[int, dict[str, int]]
 
 def notices(files: DataFrame, templates: tuple = TEMPLATES, min_cosine: float = MIN_COSINE,
             text_col: str = "text") -> DataFrame:
-    """``files`` with notice (licence or null), cosine, notice_line and n_words of each whole text."""
+    """The columns of ``files`` but the text, as ``row``, and what was found in each whole text:
+    notice (licence or null), cosine, notice_line, n_words."""
     vocabulary = set(Matcher(templates, 0, {}).vocabulary)
     matcher = Matcher(templates, *_count(files.select(F.col(text_col).alias("text")), vocabulary))
 
@@ -118,9 +119,8 @@ def notices(files: DataFrame, templates: tuple = TEMPLATES, min_cosine: float =
             rows.append((name, top, where, total) if top >= min_cosine else (None, top, None, total))
         return pd.DataFrame(rows, columns=["notice", "cosine", "notice_line", "n_words"])
 
-    new = {"notice", "cosine", "notice_line", "n_words"}
-    kept = [c for c in files.columns if c not in new]
-    return files.select(*kept, scan(text_col).alias("_n")).select(*kept, "_n.*")
+    row = F.struct(*[c for c in files.columns if c != text_col])
+    return files.select(row.alias("row"), scan(text_col).alias("n")).select("row", "n.*")
 
 
 def parent(path: Column) -> Column:
@@ -130,7 +130,7 @@ def parent(path: Column) -> Column:
 
 def scan_licences(files: DataFrame, path_col: str = "path", text_col: str = "text",
                   templates: tuple = TEMPLATES) -> DataFrame:
-    """``files`` with notice, cosine, is_licence_file, licence and licence_dir.
+    """``files`` without the text but with notice, cosine, is_licence_file, licence and licence_dir.
 
     ``licence`` is the file's own notice, else that of the nearest directory
     above with a licence file (of several, the one first by path), else null;
@@ -138,24 +138,24 @@ def scan_licences(files: DataFrame, path_col: str = "path", text_col: str = "tex
     null path is in no directory. Repeated rows are treated alike. Columns of
     these names are replaced.
     """
-    new = ("notice", "cosine", "notice_line", "n_words", "is_licence_file", "licence", "licence_dir")
-    files = files.select(*[c for c in files.columns if c not in new])
+    new = ("notice", "cosine", "is_licence_file", "licence", "licence_dir")
+    columns = [c for c in files.columns if c.lower() not in new]
     short = F.col("notice").isNotNull() & (F.col("n_words") <= LICENCE_FILE_WORDS)
-    scanned = materialise(notices(files, templates, text_col=text_col)
-                          .withColumn("is_licence_file", short).withColumn("_dir", parent(F.col(path_col))), "licences")
-    speaking = (scanned.filter("is_licence_file and _dir is not null").groupBy("_dir")
-                .agg(F.min(F.struct(F.col(path_col).alias("p"), "notice")).alias("f"))
-                .select(F.col("_dir").alias("above"), F.col("f.notice").alias("inherited")))
-    directories = scanned.filter("_dir is not null").select("_dir").distinct()
-    parts = F.split("_dir", "/")
-    depths = F.sequence(F.lit(1), F.size(parts))
+    path = F.col("row").getField(path_col)
+    scanned = materialise(
+        notices(files.select(*columns), templates, text_col=text_col)
+        .withColumns({"is_licence_file": short, "path": path, "dir": parent(path)}), "licences")
+    speaking = (scanned.filter("is_licence_file and dir is not null").groupBy("dir")
+                .agg(F.min(F.struct("path", "notice")).alias("f"))
+                .select(F.col("dir").alias("above"), F.col("f.notice").alias("inherited")))
+    directories = scanned.filter("dir is not null").select("dir").distinct()
+    parts = F.split("dir", "/")
     above = F.array_distinct(F.concat(F.array(F.lit("")), F.transform(
-        depths, lambda n: F.array_join(F.slice(parts, 1, n), "/"))))
-    nearest = (directories.select("_dir", F.posexplode(above).alias("depth", "above")).join(speaking, "above")
-               .groupBy("_dir").agg(F.max(F.struct("depth", "above", "inherited")).alias("n"))
-               .select("_dir", "n.above", "n.inherited"))
-    joined = salted_join(scanned, nearest, "_dir", [path_col], how="left", count_on=scanned.select("_dir"))
-    licence = F.coalesce("notice", "inherited")
-    where = F.when(F.col("notice").isNull(), F.col("above"))
-    return (joined.withColumn("licence", licence).withColumn("licence_dir", where)
-            .select(*files.columns, "notice", "cosine", "is_licence_file", "licence", "licence_dir"))
+        F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))))
+    nearest = (directories.select("dir", F.posexplode(above).alias("depth", "above")).join(speaking, "above")
+               .groupBy("dir").agg(F.max(F.struct("depth", "above", "inherited")).alias("n"))
+               .select("dir", "n.above", "n.inherited"))
+    joined = salted_join(scanned, nearest, "dir", ["path"], how="left", count_on=scanned.select("dir"))
+    return joined.select(
+        *[F.col("row").getField(c).alias(c) for c in columns if c != text_col], "notice", "cosine", "is_licence_file",
+        F.coalesce("notice", "inherited").alias("licence"), F.when(F.col("notice").isNull(), F.col("above")).alias("licence_dir"))

@@ -73,12 +73,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     what they repeat is removed from them. Columns named ``n_chunks`` or
     ``n_removed`` are replaced; all others pass through.
     """
-    spark = docs.sparkSession
-    base = docs.select(*[c for c in docs.columns if c not in ("n_chunks", "n_removed")])
-    keyed = base.withColumns({"_i": F.col(id_col).cast("long"), "_t": F.xxhash64(text_col)})
+    columns = [c for c in docs.columns if c.lower() not in ("n_chunks", "n_removed")]
+    keyed = docs.select(F.struct(*columns).alias("row"), F.col(id_col).cast("long").alias("_i"),
+                        F.xxhash64(text_col).alias("_t"))
+    whole = F.col("row").getField(text_col)
     order = [F.col("_i").isNull().alias("no_id"), F.col("_i").alias("i"), F.col("_t").alias("t"), F.col("k")]
 
-    cut = keyed.select("_i", "_t", F.posexplode(chunks(F.col(text_col))).alias("k", "chunk"))
+    cut = keyed.select("_i", "_t", F.posexplode(chunks(whole)).alias("k", "chunk"))
     seen = materialise(cut.filter(_is_multi_line(F.col("chunk")))
                        .select("_i", "_t", "k", F.xxhash64("chunk").alias("h"), F.length("chunk").alias("n")), "chunks")
     # Counted per document first: rows that repeat a document are one.
@@ -97,7 +98,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.struct("k", "h", "n"))
     originals = materialise(
         with_marks(held, "inner")
-        .select(F.explode(_let(chunks(F.col(text_col)), lambda c: F.transform("marks", lambda m: F.struct(
+        .select(F.explode(_let(chunks(whole), lambda c: F.transform("marks", lambda m: F.struct(
             m["h"].alias("h"), m["n"].alias("n"), F.get(c, m["k"]).alias("original"))))).alias("o"))
         .select("o.*").groupBy("h", "n").agg(F.min("original").alias("original")), "originals")
     later = (repeated.join(first.select("h", "n", "i", "t", F.col("k").alias("fk")), ["h", "n"])
@@ -114,7 +115,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     none = F.array().cast("array<struct<k:int,original:string>>")
     marked = with_marks(marks, "left").withColumn("marks", F.coalesce("marks", none))
-    out = marked.withColumn("_r", _let(chunks(F.col(text_col)), cleaned))
-    text = F.when(F.col(text_col).isNotNull(), F.col("_r.text"))
-    return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in base.columns],
+    out = marked.withColumn("_r", _let(chunks(whole), cleaned))
+    text = F.when(whole.isNotNull(), F.col("_r.text"))
+    return out.select(*[(text if c == text_col else F.col("row").getField(c)).alias(c) for c in columns],
                       F.col("_r.n_chunks").alias("n_chunks"), F.col("_r.n_removed").alias("n_removed"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import WORD_GAP
+from cadenza.llm.common import WORD_GAP, fresh
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -120,9 +120,10 @@ def evaluate(docs: DataFrame, rules: tuple = RULES, text_col: str = "text") -> D
     Rows are independent. A null, empty or blank text has no words and fails.
     Columns that bear one of these names are replaced.
     """
-    new = {*_COUNTS, "base_failed", "failed_rules", "kept", "_c"}
+    new = {*_COUNTS, "base_failed", "failed_rules", "kept"}
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (docs.select(*[c for c in docs.columns if c not in new or c == text_col], counts(F.col(text_col)).alias("_c"))
-            .select("*", "_c.w.*", "_c.l.*", F.col("_c.n_symbols").alias("n_symbols")).drop("_c")
+    kept, found = [c for c in docs.columns if c.lower() not in new], fresh(docs.columns, "_counts")
+    return (docs.select(*kept, counts(F.col(text_col)).alias(found))
+            .select(*kept, f"{found}.w.*", f"{found}.l.*", F.col(f"{found}.n_symbols").alias("n_symbols"))
             .withColumn("base_failed", base).withColumn("failed_rules", compile_rules(rules))
             .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
