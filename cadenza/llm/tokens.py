@@ -31,7 +31,7 @@ class WordTokenizer:
     def ids(self, text: str | None, end: int | None = None) -> np.ndarray:
         """Ids of ``text`` (null: none), then ``end`` if given."""
         words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = set(words) - self.cache.keys()
+        new = {w for w in words if w not in self.cache}
         if new:
             if len(self.cache) + len(new) > CACHE_WORDS or self.chars > CACHE_CHARS:
                 self.cache, self.chars, new = {}, 0, set(words)
