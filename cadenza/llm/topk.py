@@ -166,7 +166,7 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
 
     def solve(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(d):
-            return pd.DataFrame({"query_id": [], "ids": [], "score": []})
+            return pd.DataFrame(columns=["query_id", "ids", "score"], dtype=object)
         d = d.iloc[np.argsort(d["ids"].map(lambda x: x[0]).to_numpy(), kind="stable")]
         score = _products(_matrix(q["v"], dims), _matrix(d["v"], dims), exact)
         n = min(k + 1, len(d))
