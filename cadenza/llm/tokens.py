@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
+import regex
 
 CACHE_WORDS, CACHE_CHARS = 1 << 18, 1 << 24
 
@@ -12,9 +14,11 @@ CACHE_WORDS, CACHE_CHARS = 1 << 18, 1 << 24
 class WordTokenizer:
     """Ids of a text under a tokenizer that never joins what white space parts.
 
-    Texts are cut at spaces, tabs and line ends only; each distinct word goes
-    through the library once and its ids are kept as bytes. The cache starts
-    anew beyond its bounds, so memory does not grow with the vocabulary.
+    Each distinct piece goes through the library once and its ids are kept as
+    bytes. Pieces are runs between spaces, tabs and line ends; where the file
+    only folds case and cuts at one pattern, Latin-1 texts are cut at that
+    pattern, so a word is one piece whatever its case and the marks around it.
+    The cache starts anew beyond its bounds: memory does not grow with the vocabulary.
     """
 
     def __init__(self, path: str) -> None:
@@ -25,26 +29,51 @@ class WordTokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.pattern, self.special = _piece_pattern(json.loads(self.library.to_str()))
         self.cache: dict[str, bytes] = {}
         self.chars = 0
 
+    def _pieces(self, text: str) -> list[str]:
+        if self.pattern and not any(s in text for s in self.special):
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                pass
+            else:
+                return self.pattern.findall(text.lower())
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
     def ids(self, text: str | None, end: int | None = None) -> np.ndarray:
         """Ids of ``text`` (null: none), then ``end`` if given."""
-        words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = {w for w in words if w not in self.cache}
+        pieces = self._pieces(text or "")
+        new = {w for w in pieces if w not in self.cache}
         if new:
             if len(self.cache) + len(new) > CACHE_WORDS or self.chars > CACHE_CHARS:
-                self.cache, self.chars, new = {}, 0, set(words)
+                self.cache, self.chars, new = {}, 0, set(pieces)
             listed = list(new)
             encoded = self.library.encode_batch_fast(listed, add_special_tokens=False)
             self.cache.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(listed, encoded))
             self.chars += sum(map(len, listed))
-        parts = list(map(self.cache.__getitem__, words))
+        parts = list(map(self.cache.__getitem__, pieces))
         if end is not None:
             parts.append(np.array([end], self.dtype).tobytes())
         return np.frombuffer(b"".join(parts), self.dtype)
 
 
+def _piece_pattern(spec: dict) -> tuple[regex.Pattern | None, list[str]]:
+    """The pattern that cuts pieces, if nothing but case, composition and white
+    space is normalised, and the special tokens, which are cut before it."""
+    steps = (spec.get("normalizer") or {}).get("normalizers", [])
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    special = [t["content"] for t in spec.get("added_tokens", [])]
+    if [s["type"] for s in steps] != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return None, special
+    split = cuts[0]
+    if steps[1].get("content") != " " or not split.get("invert") or split.get("behavior") != "Removed" or cuts[1]["use_regex"]:
+        return None, special
+    return regex.compile(split["pattern"]["Regex"]), special
+
+
 _OPEN: dict[str, WordTokenizer] = {}
 
 
