@@ -21,6 +21,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 SHORT = 64
 CACHE_WORDS, CACHE_CHARS = 1 << 18, 1 << 24
@@ -55,6 +56,7 @@ class BytePairs:
             self.merges.setdefault((self.vocab[left], self.vocab[right]), (rank, self.vocab[left + right]))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.library = Tokenizer.from_file(path)
         self.names = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         self.printable = _printable_bytes()
         self.cache: dict[str, bytes] = {}
@@ -107,29 +109,36 @@ class BytePairs:
                     heapq.heappush(heap, (rank, a, parts[a], parts[b]))
         return [p for p in parts if p >= 0]
 
-    def _word(self, word: str) -> list[int]:
-        """Ids of a run without spaces, tabs and line ends."""
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a text, special tokens among them."""
         out = []
-        for run in self.cut_special.split(word) if self.cut_special else [word]:
+        runs = self.cut_special.split(text) if self.cut_special and any(s in text for s in self.special) else [text]
+        for run in runs:
             if run in self.special:
-                out.append(self.special[run])
-            elif run:
+                out.append(run)
+            elif not run.isascii() and any(unicodedata.category(c) == "Cn" for c in set(run)):
+                # Characters newer than Python's tables: the library knows their class and case.
+                plain = self.library.normalizer.normalize_str(run)
+                out += [plain[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(plain)]
+            else:
                 plain = unicodedata.normalize("NFC", run)
                 # Each character by itself: no final sigma.
                 plain = "".join(map(str.lower, plain)) if "Σ" in plain else plain.lower()
-                for piece in self.pattern.findall(plain):
-                    out += self.piece(piece)
+                out += self.pattern.findall(plain)
         return out
 
     def encode(self, text: str | None) -> np.ndarray:
-        words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = {w for w in words if w not in self.cache}
+        pieces = self.pieces(text or "")
+        new = {p for p in pieces if p not in self.cache}
         if new:
             if len(self.cache) + len(new) > CACHE_WORDS or self.chars > CACHE_CHARS:
-                self.cache, self.chars, new = {}, 0, set(words)
-            self.cache.update((w, np.array(self._word(w), "<i4").tobytes()) for w in new)
+                self.cache, self.chars, new = {}, 0, set(pieces)
+            self.cache.update((p, np.array(self._ids(p), "<i4").tobytes()) for p in new)
             self.chars += sum(map(len, new))
-        return np.frombuffer(b"".join(map(self.cache.__getitem__, words)), "<i4")
+        return np.frombuffer(b"".join(map(self.cache.__getitem__, pieces)), "<i4")
+
+    def _ids(self, piece: str) -> list[int]:
+        return [self.special[piece]] if piece in self.special else self.piece(piece)
 
     def decode(self, ids: np.ndarray) -> str:
         """Tokens as they stand in the vocabulary, one space between them."""
