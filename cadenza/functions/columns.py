@@ -56,11 +56,6 @@ def flatten_window(df: DataFrame, name: str = "window") -> DataFrame:
     }).drop(name)
 
 
-def expand_struct(df: DataFrame, name: str) -> DataFrame:
-    """All fields of a struct column as top-level columns."""
-    return df.select(f"{name}.*")
-
-
 def rename(df: DataFrame, old: str, new: str) -> DataFrame:
     return df.withColumnRenamed(old, new)
 
@@ -74,19 +69,10 @@ def align_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
-def with_rating(df: DataFrame, value: float = 1.0) -> DataFrame:
-    """Constant implicit rating."""
-    return df.withColumn("rating", F.lit(value))
-
-
 def stamp_ingestion(df: DataFrame) -> DataFrame:
     return df.withColumn("ingestion_time", F.current_timestamp())
 
 
-def event_date(df: DataFrame, ts: str, name: str = "event_date") -> DataFrame:
-    return df.withColumn(name, F.to_date(F.col(ts)))
-
-
 def hash_order(key: Column, seed: int) -> Column:
     """32-bit number from md5(key:seed); the same in any SQL engine."""
     text = F.concat_ws(":", key.cast("string"), F.lit(str(seed)))

@@ -119,12 +119,12 @@ def flag_member(cands: DataFrame, links: DataFrame, name: str) -> DataFrame:
 def candidate_features(links: DataFrame, neighbours: DataFrame, popularity: DataFrame,
                        popular: DataFrame, *, only: DataFrame | None = None, labels: bool = True,
                        top_seed: int = 5, per_seed: int = 200, max_cands: int = 500,
-                       truth: DataFrame | None = None) -> DataFrame:
+                       truth: DataFrame | None = None, seeds_in_truth: bool = False) -> DataFrame:
     """Feature row per (playlist, candidate).
 
     ``only`` restricts the playlists scored; popularity and neighbours always
-    come from the whole corpus. ``truth`` defaults to all tracks of the
-    playlist, seeds included.
+    come from the whole corpus. ``truth`` defaults to the tracks of the
+    playlist without its seeds; ``seeds_in_truth`` counts them too.
     """
     rows = links if only is None else links.join(only.select("pid"), "pid", "left_semi")
     seeds = materialise(seed_tracks(rows, top_seed), "seeds")
@@ -135,6 +135,8 @@ def candidate_features(links: DataFrame, neighbours: DataFrame, popularity: Data
     table = merged.withColumn(
         "seed_overlap", F.array_contains("_seeds", F.col("track_uri")).cast("int")).drop("_seeds")
     if labels:
-        table = flag_member(table, rows if truth is None else truth, "label")
+        if truth is None:
+            truth = rows if seeds_in_truth else rows.join(seeds.select("pid", "track_uri"), ["pid", "track_uri"], "left_anti")
+        table = flag_member(table, truth, "label")
     cols = ["pid", "track_uri", "cand_rank", "popularity", "t2v_score", "seed_overlap", "playlist_len"]
     return table.select(*cols, *(["label"] if labels else []))

@@ -49,5 +49,14 @@ def with_lateness(events: DataFrame, ts: str = "event_ts", delay: str = "10 minu
 
 def dedup_events(events: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One row per key. The event time is part of the key, so on a stream the
-    state of a key expires with the watermark."""
-    return events.dropDuplicates(keys or DEDUP_KEY)
+    state of a key expires with the watermark.
+
+    Other columns are the smallest of a key's values in batch; on a stream they
+    are those of the first row that arrives.
+    """
+    keys = keys or DEDUP_KEY
+    if events.isStreaming:
+        return events.dropDuplicates(keys)
+    others = [c for c in events.columns if c not in keys]
+    least = [F.min(c).alias(c) for c in others] or [F.count(F.lit(1)).alias("_n")]
+    return events.groupBy(*keys).agg(*least).select(*events.columns)

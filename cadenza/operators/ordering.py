@@ -99,7 +99,3 @@ def hash_rank(df: DataFrame, key: str, seed: int, name: str = "rank") -> DataFra
 def top_n(df: DataFrame, metric: str, n: int, tie: str) -> DataFrame:
     """First ``n`` rows by a metric, ties by id; never a full sort."""
     return df.orderBy(F.desc(metric), tie).limit(n)
-
-
-def preview(df: DataFrame, n: int) -> DataFrame:
-    return df.limit(n)

@@ -7,16 +7,23 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.features import track_popularity
 from cadenza.operators.ordering import BLOCK, first_per_key
+from cadenza.operators.skew import salted_join
+from cadenza.workspace import materialise
 
 
-def playlist_sequences(links: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(pid, chunk, tracks): ordered tracks in runs of at most ``block``.
+def playlist_sequences(links: DataFrame, block: int = BLOCK, overlap: int = 0) -> DataFrame:
+    """(pid, chunk, tracks): ordered tracks in runs of at most ``block``, each
+    followed by the first ``overlap`` tracks of the next one.
 
     A long playlist becomes several consecutive runs, so no row and no task
-    holds a whole one. Word2Vec cuts sentences at 1000 words by itself.
+    holds a whole one.
     """
-    chunk = F.floor(F.col("pos") / F.lit(block)).cast("bigint").alias("chunk")
-    return (links.groupBy("pid", chunk)
+    own = F.floor(F.col("pos") / F.lit(block)).cast("bigint")
+    placed = links.withColumn("chunk", own)
+    if overlap:
+        runs = F.when((F.col("pos") % block < overlap) & (own > 0), F.array(own - 1, own)).otherwise(F.array(own))
+        placed = links.withColumn("chunk", F.explode(runs))
+    return (placed.groupBy("pid", "chunk")
             .agg(F.array_sort(F.collect_list(F.struct("pos", "track_uri"))).alias("_run"))
             .select("pid", "chunk", F.col("_run.track_uri").alias("tracks")))
 
@@ -50,11 +57,11 @@ def context_pairs(links: DataFrame, window: int = 5, block: int = BLOCK) -> Data
 def context_similarity(links: DataFrame, k: int = 200, window: int = 5) -> DataFrame:
     """(track_uri, neighbour, score, rank): the ``k`` tracks most often met
     nearby, scored n / sqrt(popularity x popularity), ties by id."""
-    popularity = track_popularity(links)
-    scored = (context_pairs(links, window)
-              .join(popularity.withColumnRenamed("popularity", "_pa"), "track_uri")
-              .join(popularity.select(F.col("track_uri").alias("neighbour"),
-                                      F.col("popularity").alias("_pb")), "neighbour")
+    popularity = materialise(track_popularity(links), "popularity")
+    pairs = materialise(context_pairs(links, window), "context-pairs")
+    named = salted_join(pairs, popularity.withColumnRenamed("popularity", "_pa"), "track_uri", ["neighbour"])
+    # As many pairs end in a track as begin with it: the same counts serve both joins.
+    scored = (salted_join(named, popularity.toDF("neighbour", "_pb"), "neighbour", ["track_uri"], count_on=pairs)
               .withColumn("score", F.round(F.col("n") / F.sqrt(F.col("_pa") * F.col("_pb")), 6)))
     best = first_per_key(scored, "track_uri", [F.desc("score"), "neighbour"], k)
     return best.select("track_uri", "neighbour", "score", "rank")

@@ -119,9 +119,10 @@ def partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def artists_by_appearances(spark: SparkSession, sf: str) -> DataFrame:
     path = run_dir(spark, "artist-features")
-    write_partitioned(_artists(spark, sf), path, ["total_playlist_appearances"])
-    return tables.read_table(spark, path).groupBy(
-        F.col("total_playlist_appearances").cast("bigint").alias("total_playlist_appearances")).agg(
+    # One folder per value would be as many folders as there are counts.
+    bucketed = _artists(spark, sf).withColumn("bucket", F.floor(F.log2(F.col("total_playlist_appearances") + 1)).cast("int"))
+    write_partitioned(bucketed, path, ["bucket"])
+    return tables.read_table(spark, path).groupBy("total_playlist_appearances").agg(
         F.count(F.lit(1)).alias("n_artists"), F.sum("total_tracks_count").alias("n_tracks"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.operators import (als, candidates, embeddings, features, indexing, metrics, ranking, sequences,
@@ -19,6 +19,8 @@ from cadenza.workspace import materialise, run_dir
 # Sizes of the registered queries: neighbours per track, candidates per
 # playlist, popular backfill. The operators default to 200, 500 and 300.
 NEAR, CANDS, POPULAR = 20, 50, 30
+# The operators' own sizes, for the queries that return one row per playlist.
+FULL_NEAR, FULL_CANDS, FULL_POPULAR, FULL_K = 200, 500, 300, 500
 # Playlists the learned scorer is fitted and tuned on, as in the original jobs.
 TRAIN_PLAYLISTS, VALID_PLAYLISTS = 1200, 300
 # Trials and grid of the registered search; ``ranking.GRID`` is the full one.
@@ -145,13 +147,30 @@ def vector_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def track2vec_neighbours(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = materialise(embeddings.fit_track_vectors(S.stored_links(spark, sf)), "track-vectors")
-    return similarity.nearest_neighbours(vectors, NEAR)
+    vectors = materialise(embeddings.context_vectors(S.stored_links(spark, sf)), "track-vectors")
+    return _list_checks(similarity.nearest_neighbours(vectors, FULL_NEAR))
+
+
+def skipgram_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = materialise(embeddings.skipgram_vectors(S.stored_links(spark, sf)), "track-vectors")
+    return _list_checks(similarity.nearest_neighbours(vectors, FULL_NEAR))
 
 
 def factor_neighbours(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = embeddings.context_vectors(S.stored_links(spark, sf), dim=16, iterations=3)
-    return similarity.nearest_neighbours(materialise(vectors, "track-vectors"), NEAR)
+    vectors = embeddings.context_vectors(S.stored_links(spark, sf), window=10)
+    return _list_checks(similarity.nearest_neighbours(materialise(vectors, "track-vectors"), FULL_NEAR))
+
+
+def _list_checks(near: DataFrame) -> DataFrame:
+    """Per track what any engine can state of learned neighbours: how many, none
+    of them itself, all different, scores that never rise."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("rank", "score"))), lambda r: r["score"])
+    return near.groupBy("track_uri").agg(
+        F.count(F.lit(1)).alias("n_neighbours"), F.countDistinct("neighbour").alias("n_distinct"),
+        F.bool_and(F.col("track_uri") != F.col("neighbour")).alias("no_self"), ordered.alias("_s")).select(
+        "track_uri", "n_neighbours", "n_distinct", "no_self",
+        F.forall(F.zip_with(F.slice("_s", 1, F.size("_s") - 1), F.slice("_s", 2, F.size("_s")), lambda a, b: a >= b - 1e-9),
+                 lambda x: x).alias("falls"))
 
 
 def context_similarity(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,12 +181,12 @@ def seed_tracks(spark: SparkSession, sf: str) -> DataFrame:
     return candidates.seed_tracks(S.links(spark, sf))
 
 
-def _corpus(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _corpus(spark: SparkSession, sf: str, near: int = NEAR, popular: int = POPULAR) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Links, neighbours, popularity and the popular list, each stored once."""
     links = S.stored_links(spark, sf)
-    near = materialise(sequences.context_similarity(links, NEAR), "neighbours")
+    lists = materialise(sequences.context_similarity(links, near), "neighbours")
     popularity = materialise(features.track_popularity(links), "popularity")
-    return links, near, popularity, features.popular_tracks(popularity, POPULAR)
+    return links, lists, popularity, features.popular_tracks(popularity, popular)
 
 
 def _seeds(links: DataFrame) -> DataFrame:
@@ -188,16 +207,32 @@ def candidate_union(spark: SparkSession, sf: str) -> DataFrame:
         "pid", "track_uri", "cand_rank")
 
 
-def _features(spark: SparkSession, sf: str, labels: bool = True, only: DataFrame | None = None) -> DataFrame:
+def _features(spark: SparkSession, sf: str, labels: bool = True, seeds_in_truth: bool = True) -> DataFrame:
     links, near, popularity, popular = _corpus(spark, sf)
-    return candidates.candidate_features(links, near, popularity, popular, only=only, labels=labels,
-                                         per_seed=NEAR, max_cands=CANDS)
+    return candidates.candidate_features(links, near, popularity, popular, labels=labels,
+                                         per_seed=NEAR, max_cands=CANDS, seeds_in_truth=seeds_in_truth)
 
 
 def candidate_features(spark: SparkSession, sf: str) -> DataFrame:
     return _features(spark, sf)
 
 
+def candidate_features_unseeded(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels without the seeds, as the learned scorer is trained on."""
+    return _features(spark, sf, seeds_in_truth=False).select("pid", "track_uri", "seed_overlap", "label")
+
+
+def candidate_features_full(spark: SparkSession, sf: str) -> DataFrame:
+    """All features at the operators' own sizes, summed up per playlist."""
+    links, near, popularity, popular = _corpus(spark, sf, FULL_NEAR, FULL_POPULAR)
+    rows = candidates.candidate_features(links, near, popularity, popular, per_seed=FULL_NEAR, max_cands=FULL_CANDS)
+    return rows.groupBy("pid").agg(
+        F.count(F.lit(1)).alias("n_candidates"), F.sum("popularity").alias("popularity"),
+        F.count_if(F.col("t2v_score") > 0).alias("n_similar"), F.sum("seed_overlap").cast("bigint").alias("n_seeds"),
+        F.sum("label").cast("bigint").alias("n_relevant"), F.max("playlist_len").alias("playlist_len"),
+        F.min_by("track_uri", "cand_rank").alias("first_track"), F.max_by("track_uri", "cand_rank").alias("last_track"))
+
+
 def candidate_features_unlabelled(spark: SparkSession, sf: str) -> DataFrame:
     return _features(spark, sf, labels=False)
 
@@ -220,13 +255,28 @@ def rank_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, sf: str):
-    """Candidate table of all playlists, trees and factors fitted on a sample."""
-    table = materialise(_features(spark, sf), "features")
-    sample = splits.sample_playlists(table.select("pid").distinct(), TRAIN_PLAYLISTS)
+    """Candidate table of all playlists; trees fitted on a sample of them, factors on all links."""
+    links, near, popularity, popular = _corpus(spark, sf)
+    table = materialise(candidates.candidate_features(links, near, popularity, popular,
+                                                      per_seed=NEAR, max_cands=CANDS), "features")
+    sample = splits.sample_playlists(_part(links, "train"), TRAIN_PLAYLISTS)
     train = materialise(table.join(sample, "pid", "left_semi"), "train-features")
-    ranker = ranking.fit_ranker(train, depth=5, rounds=10)
-    rec = als.fit_als(splits.positives(train).select("pid", "track_uri", F.lit(1.0).alias("rating")))
-    return table, ranker, rec
+    return table, ranking.fit_ranker(train, depth=5, rounds=10), als.fit_als(als.ratings_from(links))
+
+
+def _part(links: DataFrame, part: str) -> DataFrame:
+    """Playlists of one part of the train, val and test split."""
+    split = splits.split_playlists(links.select("pid").distinct())
+    return materialise(split.filter(F.col("split") == part).select("pid"), "part")
+
+
+def affinity_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidate pairs whose two sides both have factors, per playlist: all of them."""
+    table, _, rec = _fitted(spark, sf)
+    scored = als.affinity(table.select("pid", "track_uri"), rec, count_on=table)
+    return scored.groupBy("pid").agg(F.count(F.lit(1)).alias("n_candidates"),
+                                     F.count_if(F.col("affinity") != 0).alias("n_scored")).select(
+        "pid", (F.col("n_scored") > 0).alias("has_affinity"), "n_candidates")
 
 
 def rank_playlists(spark: SparkSession, sf: str) -> DataFrame:
@@ -236,14 +286,16 @@ def rank_playlists(spark: SparkSession, sf: str) -> DataFrame:
 
 def random_search(spark: SparkSession, sf: str) -> DataFrame:
     links, near, popularity, popular = _corpus(spark, sf)
-    chosen = materialise(splits.sample_playlists(links.select("pid").distinct(), TRAIN_PLAYLISTS), "chosen")
-    held = splits.sample_playlists(chosen, VALID_PLAYLISTS, seed=7)
+    chosen = materialise(splits.sample_playlists(_part(links, "train"), TRAIN_PLAYLISTS), "chosen")
+    held = materialise(splits.sample_playlists(_part(links, "val"), VALID_PLAYLISTS, seed=7), "held")
     table = candidates.candidate_features(links, near, popularity, popular, only=chosen, per_seed=NEAR, max_cands=CANDS)
     valid = candidates.candidate_features(links, near, popularity, popular, only=held, per_seed=NEAR, max_cands=CANDS)
     truth = links.join(held, "pid", "left_semi").select("pid", "track_uri")
     _, log = ranking.random_search(table, valid.drop("label"), truth, n=2, grid=SMALL_GRID,
                                    log=run_dir(spark, "trials"))
-    return log
+    best = F.max("score").over(Window.partitionBy(F.lit(1)))  # a row per trial
+    return log.select("trial", (F.col("score") <= best).alias("at_most_best"),
+                      F.col("score").between(0, 1).alias("in_range"))
 
 
 # -- metrics ----------------------------------------------------------------
@@ -277,17 +329,24 @@ def ndcg_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 def als_top10(spark: SparkSession, sf: str) -> DataFrame:
     rec = als.fit_als(als.ratings_from(S.membership(spark, sf)))
-    decoded = als.decode_recs(materialise(als.recommend_all(rec, K), "recommended"), rec.users, rec.items)
-    return decoded.select("pid", F.concat_ws(",", "recommendations").alias("recommendations"))
+    recommended = materialise(als.recommend_all(rec, K), "recommended")
+    scores = F.col("recommendations.rating")
+    falls = F.forall(F.zip_with(F.slice(scores, 1, F.size(scores) - 1), F.slice(scores, 2, F.size(scores)),
+                                lambda a, b: a >= b), lambda x: x)
+    ordered = recommended.select("pid_numeric", falls.alias("ordered")).join(rec.users, "pid_numeric")
+    decoded = als.decode_recs(recommended, rec.users, rec.items)
+    return decoded.join(ordered, "pid").select(
+        "pid", F.size("recommendations").cast("bigint").alias("n_tracks"),
+        F.size(F.array_distinct("recommendations")).cast("bigint").alias("n_distinct"), "ordered")
 
 
 def als_rmse(spark: SparkSession, sf: str) -> DataFrame:
     ratings = materialise(splits.hash_split_rows(
         als.ratings_from(S.membership(spark, sf), "ones"), ["pid", "track_uri"], 80), "ratings")
     train, valid = (ratings.filter(F.col("part") == p).drop("part") for p in ("train", "validation"))
-    predicted = als.predict(als.fit_als(train), valid)
-    return predicted.agg(F.count(F.lit(1)).alias("n_rows"),
-                         F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).alias("rmse"))
+    predicted = materialise(als.predict(als.fit_als(train), valid), "predicted")
+    error = als.rmse(predicted)
+    return predicted.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("in_range", F.lit(0 < error < 1))
 
 
 def _recommended(spark: SparkSession, sf: str) -> DataFrame:
@@ -341,6 +400,7 @@ QUERIES = {
     "playlist_sequences": playlist_sequences,
     "vector_neighbours": vector_neighbours,
     "track2vec_neighbours": track2vec_neighbours,
+    "skipgram_neighbours": skipgram_neighbours,
     "factor_neighbours": factor_neighbours,
     "context_similarity": context_similarity,
     "seed_tracks": seed_tracks,
@@ -348,6 +408,9 @@ QUERIES = {
     "candidate_union": candidate_union,
     "candidate_features": candidate_features,
     "candidate_features_unlabelled": candidate_features_unlabelled,
+    "candidate_features_unseeded": candidate_features_unseeded,
+    "candidate_features_full": candidate_features_full,
+    "affinity_coverage": affinity_coverage,
     "rank_blend": rank_blend,
     "rank_topk": rank_topk,
     "rank_playlists": rank_playlists,
@@ -458,6 +521,26 @@ ORACLES = {
     "candidate_union": _MERGED + " SELECT pid, track_uri, CAST(cand_rank AS INTEGER) AS cand_rank FROM merged",
     "candidate_features": f"{_FEATURED} SELECT {_COLS}, label FROM featured",
     "candidate_features_unlabelled": f"{_FEATURED} SELECT {_COLS} FROM featured",
+    "candidate_features_unseeded": f"""{_FEATURED} SELECT pid, track_uri, seed_overlap,
+      CASE WHEN seed_overlap = 1 THEN 0 ELSE label END AS label FROM featured""",
+    "candidate_features_full": f"""WITH {Q.NEIGHBOURS.format(near=FULL_NEAR)}, {Q.SEEDS}, {Q.SCORED.format(cands=FULL_CANDS)},
+      {Q.MERGED.format(cands=FULL_CANDS, popular=FULL_POPULAR)}, {Q.FEATURED} SELECT pid, count(*) AS n_candidates,
+      CAST(sum(popularity) AS BIGINT) AS popularity, count(*) FILTER (t2v_score > 0) AS n_similar,
+      CAST(sum(seed_overlap) AS BIGINT) AS n_seeds, CAST(sum(label) FILTER (seed_overlap = 0) AS BIGINT) AS n_relevant,
+      max(playlist_len) AS playlist_len, arg_min(track_uri, cand_rank) AS first_track,
+      arg_max(track_uri, cand_rank) AS last_track FROM featured GROUP BY pid""",
+    "affinity_coverage": f"{_MERGED} SELECT pid, true AS has_affinity, count(*) AS n_candidates FROM merged GROUP BY pid",
+    **{name: _MEMBERS + f""" SELECT track_uri, least({FULL_NEAR}, count(*) OVER () - 1) AS n_neighbours,
+      least({FULL_NEAR}, count(*) OVER () - 1) AS n_distinct, true AS no_self, true AS falls
+      FROM (SELECT DISTINCT track_uri FROM members)"""
+       for name in ("track2vec_neighbours", "skipgram_neighbours", "factor_neighbours")},
+    "random_search": "SELECT CAST(t AS BIGINT) AS trial, true AS at_most_best, true AS in_range FROM range(1, 3) r(t)",
+    "als_top10": _MEMBERS + f""" SELECT pid, least({K}, (SELECT count(DISTINCT track_uri) FROM members)) AS n_tracks,
+      least({K}, (SELECT count(DISTINCT track_uri) FROM members)) AS n_distinct, true AS ordered
+      FROM (SELECT DISTINCT pid FROM members)""",
+    "als_rmse": f"""{_MEMBERS}, parts AS ({_PART}) SELECT count(*) AS n_rows, true AS in_range FROM parts
+      WHERE part = 'validation' AND pid IN (SELECT pid FROM parts WHERE part = 'train')
+      AND track_uri IN (SELECT track_uri FROM parts WHERE part = 'train')""",
     "rank_blend": f"{_MERGED} SELECT pid, track_uri, {_FINAL} AS final_score FROM merged",
     "rank_topk": f"""{_MERGED}, finals AS (SELECT pid, track_uri, {_FINAL} AS final_score FROM merged)
       SELECT pid, CAST(rank AS INTEGER) AS rank, track_uri, final_score FROM (SELECT *, row_number() OVER (

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     # Split a skewed join partition even when that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Per-key top lists of any length asked for are cut before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # Dedup and window state beyond the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
