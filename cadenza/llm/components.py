@@ -27,8 +27,9 @@ def components(edges: DataFrame) -> DataFrame:
         before = (state.n, state.h)
         star = materialise(_small_star(_large_star(star)), "edges")
     # Converged: every edge points from a member to its component's smallest id.
-    return (star.select(F.col("u").alias("id"), F.col("v").alias("root"))
-            .unionByName(star.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct())
+    # Stored, so that a join with it is one of two plain shuffles, which Spark can split.
+    return materialise(star.select(F.col("u").alias("id"), F.col("v").alias("root"))
+                       .unionByName(star.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct(), "roots")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

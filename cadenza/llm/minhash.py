@@ -155,8 +155,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "classes")
 
     filed = classes.select("cls", F.explode(_bucket_keys()).alias("key"))
-    shared = filed.groupBy("key").agg(F.min("cls").alias("leader"), F.max("cls").alias("last")).filter("leader < last")
-    buckets = materialise(filed.join(shared.select("key", "leader"), "key"), "buckets")
+    # What was aggregated is stored before it is joined back: Spark splits a hot
+    # bucket only where both sides of the join are plain shuffles.
+    shared = materialise(filed.groupBy("key").agg(F.min("cls").alias("leader"), F.max("cls").alias("last"))
+                         .filter("leader < last").select("key", "leader"), "shared")
+    buckets = materialise(filed.join(shared, "key"), "buckets")
     wanted = classes.join(buckets.select("cls").distinct(), "cls", "left_semi").select("cls", "id", "text_hash")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                          F.xxhash64(text_col).alias("text_hash"))
@@ -172,7 +175,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = classes.join(roots.withColumnRenamed("id", "cls"), "cls", "left").select(
         "digest", "id", F.coalesce("root", "cls").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("id").alias("component_id"))
+    smallest = materialise(named.groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
     known = named.join(smallest, "root").select("digest", "component_id")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return (rows.select("id", "n_shingles", "digest").join(known, "digest", "left")
@@ -193,10 +196,11 @@ def _missed(buckets: DataFrame, roots: DataFrame, classes: DataFrame, texts: Dat
               .filter("cls <> leader")
               .select("key", "cls", F.coalesce("root", "cls").alias("root"),
                       (F.coalesce("root", "cls") != F.coalesce("leader_root", "leader")).alias("strays")))
-    counts = (tagged.groupBy("key").agg(F.count_if("strays").alias("n_s"), F.count_if(~F.col("strays")).alias("n_m"))
-              .filter("n_s > 0 and n_s + n_m > 1")
-              .select("key", F.ceil(F.col("n_s") / BLOCK).cast("int").alias("b_s"),
-                      F.ceil(F.col("n_m") / BLOCK).cast("int").alias("b_m")))
+    counts = materialise(
+        tagged.groupBy("key").agg(F.count_if("strays").alias("n_s"), F.count_if(~F.col("strays")).alias("n_m"))
+        .filter("n_s > 0 and n_s + n_m > 1")
+        .select("key", F.ceil(F.col("n_s") / BLOCK).cast("int").alias("b_s"),
+                F.ceil(F.col("n_m") / BLOCK).cast("int").alias("b_m")), "crowded")
 
     def every(n: str, to: Column) -> Column:
         return F.when(F.col(n) > 0, F.transform(F.sequence(F.lit(0), F.col(n) - 1), lambda j: to(j)))
