@@ -82,10 +82,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cut = keyed.select("_i", "_t", F.posexplode(chunks(whole)).alias("k", "chunk"))
     seen = materialise(cut.filter(_is_multi_line(F.col("chunk")))
                        .select("_i", "_t", "k", F.xxhash64("chunk").alias("h"), F.length("chunk").alias("n")), "chunks")
-    # Counted per document first: rows that repeat a document are one.
-    often = (seen.groupBy("h", "n").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h", "n"))
+    # What is aggregated by chunk is stored before it is joined back: Spark splits a
+    # chunk that very many documents share only between two plain shuffles.
+    often = materialise(seen.groupBy("h", "n").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h", "n"),
+                        "often")
     repeated = materialise(seen.join(often, ["h", "n"]), "repeated")
-    first = repeated.groupBy("h", "n").agg(F.min(F.struct(*order)).alias("f")).select("h", "n", "f.*")
+    first = materialise(repeated.groupBy("h", "n").agg(F.min(F.struct(*order)).alias("f")).select("h", "n", "f.*"), "first")
 
     def of_document(rows: DataFrame, value: Column) -> DataFrame:
         return rows.groupBy("_i", "_t").agg(F.array_sort(F.collect_list(value)).alias("marks"))
