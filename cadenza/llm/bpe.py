@@ -23,8 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from cadenza.llm.tokens import latin_pattern
+
 SHORT = 64
-CACHE_WORDS, CACHE_CHARS = 1 << 18, 1 << 24
+# Pieces and characters of one generation of the cache; there are two.
+CACHE_WORDS, CACHE_CHARS = 1 << 19, 1 << 24
 _NONE = 1 << 40
 
 
@@ -36,6 +39,15 @@ def _printable_bytes() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
+def _is_latin(text: str) -> bool:
+    """Whether all characters are of Latin-1: composed as they are, each with a plain lower case."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class BytePairs:
     """Encoder and decoder for one vocabulary file."""
 
@@ -56,10 +68,12 @@ class BytePairs:
             self.merges.setdefault((self.vocab[left], self.vocab[right]), (rank, self.vocab[left + right]))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.latin = latin_pattern(spec)[0]
         self.library = Tokenizer.from_file(path)
         self.names = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         self.printable = _printable_bytes()
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.chars = 0
 
     def _parts(self, piece: str) -> list[int]:
@@ -79,9 +93,10 @@ class BytePairs:
         bounds = list(range(len(parts) + 1))  # where each part begins, and the end
         ranks = [self._rank(a, b) for a, b in zip(parts, parts[1:])]
         while ranks:
-            at = min(range(len(ranks)), key=ranks.__getitem__)
-            if ranks[at] == _NONE:
+            least = min(ranks)
+            if least == _NONE:
                 break
+            at = ranks.index(least)
             parts[bounds[at]] = self.merges[parts[bounds[at]], parts[bounds[at + 1]]][1]
             del bounds[at + 1], ranks[at]
             for i in (at - 1, at):
@@ -116,6 +131,8 @@ class BytePairs:
         for run in runs:
             if run in self.special:
                 out.append(run)
+            elif self.latin and _is_latin(run):
+                out += self.latin.findall(run.lower())
             elif not run.isascii() and any(unicodedata.category(c) == "Cn" for c in set(run)):
                 # Characters newer than Python's tables: the library knows their class and case.
                 plain = self.library.normalizer.normalize_str(run)
@@ -132,8 +149,10 @@ class BytePairs:
         new = {p for p in pieces if p not in self.cache}
         if new:
             if len(self.cache) + len(new) > CACHE_WORDS or self.chars > CACHE_CHARS:
-                self.cache, self.chars, new = {}, 0, set(pieces)
-            self.cache.update((p, np.array(self._ids(p), "<i4").tobytes()) for p in new)
+                # Pieces still in use move on from the older generation.
+                self.older, self.cache, self.chars, new = self.cache, {}, 0, set(pieces)
+            self.cache.update((p, self.older[p] if p in self.older else np.array(self._ids(p), "<i4").tobytes())
+                              for p in new)
             self.chars += sum(map(len, new))
         return np.frombuffer(b"".join(map(self.cache.__getitem__, pieces)), "<i4")
 

@@ -32,7 +32,7 @@ class WordTokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pattern, self.special = _piece_pattern(json.loads(self.library.to_str()))
+        self.pattern, self.special = latin_pattern(json.loads(self.library.to_str()))
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.chars = 0
@@ -65,7 +65,7 @@ class WordTokenizer:
         return np.frombuffer(b"".join(parts), self.dtype)
 
 
-def _piece_pattern(spec: dict) -> tuple[re.Pattern | None, list[str]]:
+def latin_pattern(spec: dict) -> tuple[re.Pattern | None, list[str]]:
     """The pattern that cuts pieces of Latin-1 texts, if nothing but case, composition
     and white space is normalised, and the special tokens, which are cut before it."""
     steps = (spec.get("normalizer") or {}).get("normalizers", [])
