@@ -25,8 +25,8 @@ STOP_WORDS = (
 RULES = (
     ("words", 10, None),
     ("mean_word_chars", 2.0, 14.0),
-    ("symbols_per_word", None, 0.5),
-    ("stop_word_share", 0.02, None),
+    ("symbols_per_word", None, 0.1),
+    ("stop_word_share", 0.03, None),
     ("dup_line_share", None, 0.5),
     ("words_per_line", 1.5, None),
 )
@@ -94,7 +94,8 @@ def _ratios() -> dict[str, Column]:
         "words": F.col("n_words").cast("double"),
         "mean_word_chars": F.col("word_chars") / words,
         "symbols_per_word": F.col("n_symbols") / words,
-        "stop_word_share": F.col("n_stop_words") / words,
+        # One more than seen: a short text without any is no evidence.
+        "stop_word_share": (F.col("n_stop_words") + 1) / words,
         "dup_line_share": F.col("n_dup_lines") / lines,
         "words_per_line": F.col("n_words") / lines,
     }

@@ -25,7 +25,7 @@ FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_i
 
 def _rule(name: str, low: float | None, high: float | None) -> str:
     ratio = {"words": "n_words", "mean_word_chars": "word_chars / greatest(n_words, 1)",
-             "symbols_per_word": "n_symbols / greatest(n_words, 1)", "stop_word_share": "n_stop / greatest(n_words, 1)",
+             "symbols_per_word": "n_symbols / greatest(n_words, 1)", "stop_word_share": "(n_stop + 1) / greatest(n_words, 1)",
              "dup_line_share": "n_dup_lines / greatest(n_lines, 1)", "words_per_line": "n_words / greatest(n_lines, 1)"}[name]
     return " AND ".join([f"{ratio} >= {low}"] * (low is not None) + [f"{ratio} <= {high}"] * (high is not None))
 

@@ -43,7 +43,7 @@ def passes(text):
     stops = {f for w in STOP_WORDS for f in (w, w.capitalize())}
     ratios = {"words": len(words), "mean_word_chars": sum(map(len, words)) / len(words),
               "symbols_per_word": sum(c in "#*$%&|<>" for c in text) / len(words),
-              "stop_word_share": sum(w in stops for w in words) / len(words),
+              "stop_word_share": (sum(w in stops for w in words) + 1) / len(words),
               "dup_line_share": (len(lines) - len(set(lines))) / len(lines), "words_per_line": len(words) / len(lines)}
     return all((low is None or ratios[n] >= low) and (high is None or ratios[n] <= high) for n, low, high in RULES)
 
