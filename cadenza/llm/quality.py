@@ -88,22 +88,22 @@ def counts(text: Column, stop_words: tuple[str, ...] = tuple(STOP_WORDS)) -> Col
 _COUNTS = ("n_words", "word_chars", "n_stop_words", "n_repeat_words", "n_lines", "n_dup_lines", "n_symbols")
 
 
-def _ratios() -> dict[str, Column]:
-    words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
+def _ratios(c: dict[str, Column]) -> dict[str, Column]:
+    words, lines = F.greatest(c["n_words"], F.lit(1)), F.greatest(c["n_lines"], F.lit(1))
     return {
-        "words": F.col("n_words").cast("double"),
-        "mean_word_chars": F.col("word_chars") / words,
-        "symbols_per_word": F.col("n_symbols") / words,
+        "words": c["n_words"].cast("double"),
+        "mean_word_chars": c["word_chars"] / words,
+        "symbols_per_word": c["n_symbols"] / words,
         # One more than seen: a short text without any is no evidence.
-        "stop_word_share": (F.col("n_stop_words") + 1) / words,
-        "dup_line_share": F.col("n_dup_lines") / lines,
-        "words_per_line": F.col("n_words") / lines,
+        "stop_word_share": (c["n_stop_words"] + 1) / words,
+        "dup_line_share": c["n_dup_lines"] / lines,
+        "words_per_line": c["n_words"] / lines,
     }
 
 
-def compile_rules(rules: tuple[tuple[str, float | None, float | None], ...]) -> Column:
-    """Names of the failed rules, in the table's order."""
-    ratios = _ratios()
+def compile_rules(rules: tuple[tuple[str, float | None, float | None], ...], c: dict[str, Column]) -> Column:
+    """Names of the rules that the counts ``c`` fail, in the table's order."""
+    ratios = _ratios(c)
     failed = []
     for name, low, high in rules:
         bad = F.lit(False)
@@ -115,6 +115,20 @@ def compile_rules(rules: tuple[tuple[str, float | None, float | None], ...]) ->
     return F.array_compact(F.array(*failed))
 
 
+def verdict(text: Column, rules: tuple = RULES) -> Column:
+    """Struct of all counts, base_failed, failed_rules and kept. One expression,
+    in which the counts are bound once: a filter on ``kept`` computes them once."""
+    def judged(found: Column) -> Column:
+        c = {name: found["w"][name] for name in _COUNTS[:4]} | {name: found["l"][name] for name in _COUNTS[4:6]}
+        c["n_symbols"] = found["n_symbols"]
+        base = (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
+        failed = compile_rules(rules, c)
+        return F.struct(*[c[name].alias(name) for name in _COUNTS], base.alias("base_failed"),
+                        failed.alias("failed_rules"), (~base & (F.size(failed) == 0)).alias("kept"))
+
+    return _let(counts(text), judged)
+
+
 def evaluate(docs: DataFrame, rules: tuple = RULES, text_col: str = "text") -> DataFrame:
     """``docs`` with the counts, ``base_failed``, ``failed_rules`` and ``kept``.
 
@@ -122,9 +136,10 @@ def evaluate(docs: DataFrame, rules: tuple = RULES, text_col: str = "text") -> D
     Columns that bear one of these names are replaced.
     """
     new = {*_COUNTS, "base_failed", "failed_rules", "kept"}
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    kept, found = [c for c in docs.columns if c.lower() not in new], fresh(docs.columns, "_counts")
-    return (docs.select(*kept, counts(F.col(text_col)).alias(found))
-            .select(*kept, f"{found}.w.*", f"{found}.l.*", F.col(f"{found}.n_symbols").alias("n_symbols"))
-            .withColumn("base_failed", base).withColumn("failed_rules", compile_rules(rules))
-            .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
+    kept, found = [c for c in docs.columns if c.lower() not in new], fresh(docs.columns, "_verdict")
+    return docs.select(*kept, verdict(F.col(text_col), rules).alias(found)).select(*kept, f"{found}.*")
+
+
+def keep(docs: DataFrame, rules: tuple = RULES, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass, unchanged."""
+    return docs.filter(verdict(F.col(text_col), rules)["kept"])
