@@ -117,7 +117,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     none = F.array().cast("array<struct<k:int,original:string>>")
     marked = with_marks(marks, "left").withColumn("marks", F.coalesce("marks", none))
-    out = marked.withColumn("_r", _let(chunks(whole), cleaned))
+    # Generated, not projected: a later filter on the outcome does not compute it again.
+    out = marked.select("row", F.explode(F.array(_let(chunks(whole), cleaned))).alias("_r"))
     text = F.when(whole.isNotNull(), F.col("_r.text"))
     return out.select(*[(text if c == text_col else F.col("row").getField(c)).alias(c) for c in columns],
                       F.col("_r.n_chunks").alias("n_chunks"), F.col("_r.n_removed").alias("n_removed"))
