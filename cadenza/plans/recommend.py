@@ -290,12 +290,16 @@ def random_search(spark: SparkSession, sf: str) -> DataFrame:
     held = materialise(splits.sample_playlists(_part(links, "val"), VALID_PLAYLISTS, seed=7), "held")
     table = candidates.candidate_features(links, near, popularity, popular, only=chosen, per_seed=NEAR, max_cands=CANDS)
     valid = candidates.candidate_features(links, near, popularity, popular, only=held, per_seed=NEAR, max_cands=CANDS)
-    truth = links.join(held, "pid", "left_semi").select("pid", "track_uri")
+    played = links.join(held, "pid", "left_semi")
+    seeds = _seeds(played).select("pid", "track_uri")
+    truth = materialise(played.select("pid", "track_uri").join(seeds, ["pid", "track_uri"], "left_anti"), "truth")
+    # All links but the truth: validation playlists have factors, from their seeds.
+    ratings = als.ratings_from(links.join(truth.distinct(), ["pid", "track_uri"], "left_anti"))
     _, log = ranking.random_search(table, valid.drop("label"), truth, n=2, grid=SMALL_GRID,
-                                   log=run_dir(spark, "trials"))
+                                   log=run_dir(spark, "trials"), ratings=ratings)
     best = F.max("score").over(Window.partitionBy(F.lit(1)))  # a row per trial
     return log.select("trial", (F.col("score") <= best).alias("at_most_best"),
-                      F.col("score").between(0, 1).alias("in_range"))
+                      (F.col("score").between(0, 1) & (F.col("affinity_share") > 0)).alias("in_range"))
 
 
 # -- metrics ----------------------------------------------------------------
