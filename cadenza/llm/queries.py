@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, langid, licenses, lines, lm, minhash, packing, quality, rans, sqltext, topk
+from cadenza.llm import bpe, langid, licenses, lines, lm, minhash, mixing, packing, quality, rans, sqltext, topk
 from cadenza.llm.common import documents, fold_bucket, prepare
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,9 +78,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash_dedup, op2_lm_score, op3_token_file, op4_quality_rules, op5_packing,
-                            op6_line_dedup, op7_license_scan, op8_bpe, op9_topk, op10_language_id)}
+                            op6_line_dedup, op7_license_scan, op8_bpe, op9_topk, op10_language_id, op13_mixing)}
 # The others hash, learn or tokenise; tests/llm holds them against brute force.
 ORACLES: dict[str, str] = {
-    "op1_minhash_dedup": sqltext.MINHASH, "op4_quality_rules": sqltext.QUALITY, "op9_topk": sqltext.TOP_K}
+    "op1_minhash_dedup": sqltext.MINHASH, "op4_quality_rules": sqltext.QUALITY, "op9_topk": sqltext.TOP_K,
+    "op13_mixing": sqltext.MIXING}

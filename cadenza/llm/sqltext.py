@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cadenza.llm.mixing import LEAST_QUALITY, MARKS, MAX_EPOCHS, WEIGHTS
 from cadenza.llm.quality import RULES, STOP_WORDS, SYMBOLS, WINDOW
 
 _SPLIT = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -59,3 +60,32 @@ s AS (
   FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id)
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5"""
+
+MIXING = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce('s' || source, '~') AS src, coalesce(CAST(doc_id AS VARCHAR), '') AS id, coalesce(text, '') AS t,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+k AS (
+  SELECT doc_id, src, id, size,
+    -ln((CAST(CAST('0x' || substr(md5(id || '|' || md5(t) || '|0'), 1, 13) AS BIGINT) AS DOUBLE) + CAST(0.5 AS DOUBLE))
+        / CAST(4503599627370496 AS DOUBLE))
+    / greatest(length(translate(t, '{MARKS}', '')) / greatest(length(t), 1), CAST({LEAST_QUALITY} AS DOUBLE)) AS key FROM d),
+s AS (
+  SELECT src, CAST(sum(size) AS BIGINT) AS source_size, CAST({MAX_EPOCHS} * sum(size) AS BIGINT) AS cap,
+    {list(WEIGHTS)}[(row_number() OVER (ORDER BY src) - 1) % {len(WEIGHTS)} + 1] AS w FROM k GROUP BY src),
+f AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER p, 0) AS DOUBLE)
+    / CAST(sum(w) OVER () - coalesce(sum(w) OVER p, 0) AS DOUBLE) AS lam FROM s
+  WINDOW p AS (ORDER BY cap / w, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (
+  SELECT src, source_size, least(CAST(cap AS DOUBLE),
+    coalesce((SELECT min_by(lam, cap / w) FROM f WHERE cap >= lam * w), CAST('inf' AS DOUBLE)) * w) AS target FROM s),
+b AS (
+  SELECT *, CAST(floor(target + CAST(0.5 AS DOUBLE)) AS BIGINT) AS want,
+    CASE WHEN source_size > 0 THEN CAST(floor(target + CAST(0.5 AS DOUBLE)) AS BIGINT) // source_size ELSE 0 END AS epochs FROM g),
+u AS (SELECT src, key, id, size, count(*) AS copies FROM k GROUP BY ALL),
+v AS (
+  SELECT u.*, want - epochs * source_size - (sum(size * copies) OVER (PARTITION BY src ORDER BY key, id, size) - size * copies) AS room,
+    source_size, target, epochs FROM u JOIN b USING (src))
+SELECT doc_id, size, source_size, target, CAST(epochs * size + CASE WHEN room <= 0 THEN 0 WHEN room > size * copies THEN size
+  ELSE room // copies END AS BIGINT) AS taken FROM k JOIN v USING (src, key, id, size)"""
