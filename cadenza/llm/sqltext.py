@@ -89,3 +89,34 @@ v AS (
     source_size, target, epochs FROM u JOIN b USING (src))
 SELECT doc_id, size, source_size, target, CAST(epochs * size + CASE WHEN room <= 0 THEN 0 WHEN room > size * copies THEN size
   ELSE room // copies END AS BIGINT) AS taken FROM k JOIN v USING (src, key, id, size)"""
+
+TRIE = """
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+i AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+      lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)),
+b AS (
+  SELECT i.conv_id, p, role, text FROM i JOIN o ON o.conv_id = i.conv_id - i.conv_id % 5 AND p < h
+  UNION ALL SELECT conv_id, p, role, text FROM o JOIN i USING (conv_id) WHERE p >= h),
+r AS (
+  SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS n_bytes, list({'role': role, 'text': text}) OVER w AS prefix FROM b
+  WINDOW w AS (PARTITION BY conv_id ORDER BY p ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, [] FROM i),
+e AS (SELECT conv_id, depth, n_bytes, prefix, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM r),
+n AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(n_bytes) AS save,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM e GROUP BY prefix, depth),
+c AS (SELECT prefix[:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+t AS (
+  SELECT n.prefix[:a] AS prefix, a AS depth, count(*) FILTER (c.n_children IS NULL) AS n_leaves, sum(save) AS saved_tokens
+  FROM n LEFT JOIN c USING (prefix, depth), unnest(range(0, n.depth + 1)) u(a) GROUP BY 1, 2)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, t.n_leaves,
+  CAST(t.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN t USING (prefix, depth) LEFT JOIN c USING (prefix, depth)
+LEFT JOIN n m ON n.depth > 0 AND m.depth = n.depth - 1 AND m.prefix = n.prefix[:n.depth - 1]"""
