@@ -10,12 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, langid, licenses, lines, lm, minhash, mixing, packing, quality, rans, sqltext, topk, trie
+from cadenza.llm import align, bpe, langid, licenses, lines, lm, minhash, mixing, packing, quality, rans, sqltext, topk, trie
 from cadenza.llm.common import documents, fold_bucket, prepare
 from cadenza.workspace import materialise
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def tokenizer_file(name: str = TOKENIZER) -> str:
@@ -86,6 +87,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie_of(trie.branch(turns, sizes), sizes).drop("first_rank")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [tokenizer_file(name) for name in ALIGNED]
+    return align.align_tokens(documents(spark, sf_dir), *files)[0]
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -93,7 +99,7 @@ def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash_dedup, op2_lm_score, op3_token_file, op4_quality_rules, op5_packing,
                             op6_line_dedup, op7_license_scan, op8_bpe, op9_topk, op10_language_id, op11_prefix_trie,
-                            op13_mixing)}
+                            op12_token_alignment, op13_mixing)}
 # The others hash, learn or tokenise; tests/llm holds them against brute force.
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": sqltext.MINHASH, "op4_quality_rules": sqltext.QUALITY, "op9_topk": sqltext.TOP_K,
