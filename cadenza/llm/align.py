@@ -19,10 +19,16 @@ empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import json
 import os
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
+from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +42,10 @@ from cadenza.workspace import materialise
 
 # Groups above 1/COMMON of all occurrences are common, if their ids take LONGEST bytes at most.
 COMMON, LONGEST = 1 << 16, 64
-# Strings of groups that a worker remembers.
-REMEMBERED = 1 << 18
+# Stretches of text that a worker remembers in one generation of its cache (there are two), and the longest.
+REMEMBERED, LONG_STRETCH = 1 << 17, 256
+# New stretches that are encoded as one text.
+RUN = 64
 # A key of a join above so many rows is dealt out over several tasks.
 HOT_ROWS = 2_000
 
@@ -49,8 +57,29 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+# A single space between two other characters: no token of either side holds both.
+GAP = re.compile(r" (?=\S)(?<=\S )")
+
+
+class Aligned(NamedTuple):
+    """What a stretch of text comes to; ``whole`` unless its tokens spell something else."""
+
+    whole: bool
+    n_a: int = 0
+    n_b: int = 0
+    n_groups: int = 0
+    spelled: str = ""
+    same: bytes = b""           # A ids of identical pairs, 32 bits each
+    odd: tuple[bytes, ...] = ()  # keys of the other groups
+
+
 class Aligner:
-    """Two tokenizers with the bytes of their tokens, and their identity map."""
+    """Two tokenizers with the bytes of their tokens, and their identity map.
+
+    Where both files allow it, texts are cut at single spaces and each distinct
+    stretch is aligned once; a full cache becomes the older of two generations,
+    from which what is still in use moves on.
+    """
 
     def __init__(self, path_a: str, path_b: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -74,18 +103,17 @@ class Aligner:
         self.identity = np.array([named.get(x, -1) for x in self.bytes_a], np.int64)
         self.spelled = [f"{i}|{j}" for i, j in enumerate(self.identity.tolist())]
         self.dtype = np.dtype("<u2" if max(len(self.bytes_a), len(self.bytes_b)) <= 1 << 16 else "<u4")
-        self.groups: dict[bytes, str] = {}
-
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids under both; none if the tokens do not spell a space and the text."""
-        none = np.empty(0, np.int64)
-        if not text:
-            return none, none
-        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
-        whole = (" " + text).encode("utf-8", "surrogatepass")
-        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-            return none, none
-        return np.array(a, np.int64), np.array(b, np.int64)
+        self.cuts = self._cuts_at_spaces()
+        self.cache: dict[str, Aligned] = {}
+        self.older: dict[str, Aligned] = {}
+
+    def _cuts_at_spaces(self) -> bool:
+        """Whether no token of A or B reaches over a space that follows something else."""
+        spec = json.loads(self.a.to_str())
+        before = spec.get("pre_tokenizer") or {}
+        plain = not spec.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex")
+        return bool(plain and not before.get("add_prefix_space")
+                    and not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.vocab_size())))
 
     def group_key(self, a: bytes, b: bytes) -> bytes:
         return len(a).to_bytes(4, "little") + a + b
@@ -94,16 +122,6 @@ class Aligner:
         cut = 4 + int.from_bytes(key[:4], "little")
         return np.frombuffer(key[4:cut], self.dtype).astype(np.int64), np.frombuffer(key[cut:], self.dtype).astype(np.int64)
 
-    def group_text(self, key: bytes) -> str:
-        text = self.groups.get(key)
-        if text is None:
-            if len(self.groups) >= REMEMBERED:
-                self.groups.clear()
-            a, b = self.group_ids(key)
-            text = ",".join(map(str, a.tolist())) + "|" + ",".join(map(str, b.tolist()))
-            self.groups[key] = text
-        return text
-
     def links(self, key: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Linked ids of a group. No inner end is shared, so each stretch between
         two ends, of whichever side, is the overlap of exactly one pair."""
@@ -112,29 +130,76 @@ class Aligner:
         stops = np.sort(np.concatenate([ends_a, ends_b[:-1]]))
         return a[np.searchsorted(ends_a, stops)], b[np.searchsorted(ends_b, stops)]
 
-    def align(self, text: str | None) -> tuple[tuple[int, int, int, int], str, np.ndarray, list[bytes]]:
-        """Counts (a, b, groups, links), spelled groups, A ids of identical pairs, keys of the other groups."""
-        a, b = self.encode(text)
-        if not len(a):
-            return (0, 0, 0, 0), "", a, []
+    def _whole(self, text: bytes, a: list[int], b: list[int]) -> bool:
+        return (b"".join(map(self.bytes_a.__getitem__, a)) == text) and (b"".join(map(self.bytes_b.__getitem__, b)) == text)
+
+    def _align_run(self, parts: list[str]) -> list[Aligned]:
+        """Stretches with single spaces between them, encoded some at a time; each one's end is an end on both sides."""
+        texts = [" ".join(parts[i:i + RUN]) for i in range(0, len(parts), RUN)]
+        raw = b"".join((" " + t).encode("utf-8", "surrogatepass") for t in texts)
+        list_a = list(chain.from_iterable(x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)))
+        list_b = list(chain.from_iterable(self.b.encode(texts, num_threads=1)))
+        if not self._whole(raw, list_a, list_b):
+            half = len(parts) // 2
+            return self._align_run(parts[:half]) + self._align_run(parts[half:]) if half else [Aligned(False)]
+        a, b = np.array(list_a, np.int64), np.array(list_b, np.int64)
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         at = np.searchsorted(ends_b, ends_a)
         stop_a = np.flatnonzero(ends_b[at] == ends_a)
         stop_b = at[stop_a]
         start_a, start_b = np.append(0, stop_a[:-1] + 1), np.append(0, stop_b[:-1] + 1)
         same = (start_a == stop_a) & (start_b == stop_b) & (self.identity[a[stop_a]] == b[stop_b])
-        width, raw_a, raw_b = self.dtype.itemsize, a.astype(self.dtype).tobytes(), b.astype(self.dtype).tobytes()
         odd = np.flatnonzero(~same)
-        cuts = (np.stack([start_a[odd], stop_a[odd] + 1, start_b[odd], stop_b[odd] + 1], axis=1) * width).tolist()
-        keys = [self.group_key(raw_a[i:j], raw_b[k:m]) for i, j, k, m in cuts]
-        texts = [""] * len(stop_a)
-        identical = a[stop_a[same]]
-        for i, x in zip(np.flatnonzero(same).tolist(), identical.tolist()):
-            texts[i] = self.spelled[x]
-        for i, key in zip(odd.tolist(), keys):
-            texts[i] = self.group_text(key)
-        n = len(stop_a)
-        return (len(a), len(b), n, len(a) + len(b) - n), ";".join(texts), identical, keys
+        width, raw_a, raw_b = self.dtype.itemsize, a.astype(self.dtype).tobytes(), b.astype(self.dtype).tobytes()
+        cuts = np.stack([start_a[odd], stop_a[odd] + 1, start_b[odd], stop_b[odd] + 1], axis=1).tolist()
+        keys = [self.group_key(raw_a[i * width:j * width], raw_b[k * width:m * width]) for i, j, k, m in cuts]
+        identical = a[stop_a[same]].astype("<u4").tobytes()
+        spelled = list(map(self.spelled.__getitem__, a[stop_a].tolist()))
+        for g, (i, j, k, m) in zip(odd.tolist(), cuts):
+            spelled[g] = ",".join(map(str, list_a[i:j])) + "|" + ",".join(map(str, list_b[k:m]))
+        bytes_to = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in parts])
+        to_a, to_b = np.searchsorted(ends_a, bytes_to) + 1, np.searchsorted(ends_b, bytes_to) + 1
+        ends = np.searchsorted(stop_a, to_a)  # groups up to each part's end
+        alike = np.append(0, np.cumsum(same))[ends].tolist()
+        out, x, y, g, s = [], 0, 0, 0, 0
+        for x2, y2, h, t in zip(to_a.tolist(), to_b.tolist(), ends.tolist(), alike):
+            out.append(Aligned(True, x2 - x, y2 - y, h - g, ";".join(spelled[g:h]), identical[4 * s:4 * t], tuple(keys[g - s:h - t])))
+            x, y, g, s = x2, y2, h, t
+        return out
+
+    def _align_each(self, parts: list[str]) -> dict[str, Aligned]:
+        """Distinct stretches; those with white space at an end go alone, as spaces beside it would join it."""
+        alone = [p for p in parts if p[0].isspace() or p[-1].isspace() or not self.cuts]
+        out = {p: self._align_run([p])[0] for p in alone}
+        run = [p for p in parts if p not in out]
+        return out | dict(zip(run, self._align_run(run) if run else ()))
+
+    def _remember(self, parts: set[str]) -> None:
+        new = [p for p in parts if p not in self.cache]
+        if len(self.cache) + len(new) > REMEMBERED:
+            self.older, self.cache = self.cache, {}
+            new = list(parts)
+        self.cache.update((p, self.older[p]) for p in new if p in self.older)
+        self.cache.update(self._align_each([p for p in new if p not in self.older]))
+
+    def align(self, texts: list[str | None]) -> list[Aligned]:
+        """Each text's alignment; nothing for a text that is null, empty or not spelled by its tokens."""
+        cut = [GAP.split(t) if self.cuts and t else [t or ""] for t in texts]
+        parts = set(chain.from_iterable(cut)) - {""}
+        long = {p for p in parts if len(p) > LONG_STRETCH}
+        self._remember(parts - long)
+        held = self._align_each(list(long))
+        return [self._joined(t, list(map(self.cache.get, c)) if held.keys().isdisjoint(c) else
+                             [held.get(p) or self.cache[p] for p in c]) if t else Aligned(False) for t, c in zip(texts, cut)]
+
+    def _joined(self, text: str, found: list[Aligned]) -> Aligned:
+        if len(found) == 1:
+            return found[0]
+        if not all(map(itemgetter(0), found)):
+            return self._align_run([text])[0]
+        n_a, n_b, n_groups = (sum(map(itemgetter(i), found)) for i in (1, 2, 3))
+        return Aligned(True, n_a, n_b, n_groups, ";".join(map(itemgetter(4), found)),
+                       b"".join(map(itemgetter(5), found)), tuple(chain.from_iterable(map(itemgetter(6), found))))
 
 
 _OPEN: dict[tuple[str, str], Aligner] = {}
@@ -155,14 +220,16 @@ _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 def _aligned(paths: tuple[str, str], id_type: pa.DataType):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(*paths)
+        gc.disable()  # counts of references free a batch; a collector would walk the cache again and again
         for batch in batches:
-            out = [own.align(t) for t in batch.column(1).to_pylist()]
-            odd = [Counter(keys) for *_, keys in out]
-            same = [np.unique(ids, return_counts=True) for _, _, ids, _ in out]
+            out = own.align(batch.column(1).to_pylist())
+            odd = [Counter(x.odd) for x in out]
+            same = [np.unique(np.frombuffer(x.same, "<u4"), return_counts=True) for x in out]
+            counts = [(x.n_a, x.n_b, x.n_groups, x.n_a + x.n_b - x.n_groups) for x in out]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).cast(id_type), *[pa.array([x[0][i] for x in out], pa.int64()) for i in range(4)],
-                pa.array([hashlib.sha256(x[1].encode()).hexdigest() if x[0][0] else "" for x in out], pa.string()),
-                pa.array([ids.astype("<u4").tobytes() for ids, _ in same], pa.binary()),
+                batch.column(0).cast(id_type), *[pa.array([c[i] for c in counts], pa.int64()) for i in range(4)],
+                pa.array([hashlib.sha256(x.spelled.encode()).hexdigest() if x.n_a else "" for x in out], pa.string()),
+                pa.array([ids.tobytes() for ids, _ in same], pa.binary()),
                 pa.array([n.astype("<u4").tobytes() for _, n in same], pa.binary()),
                 pa.array([list(c) for c in odd], pa.list_(pa.binary())),
                 pa.array([list(c.values()) for c in odd], pa.list_(pa.int32()))],

@@ -5,6 +5,7 @@ import os
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -75,15 +76,26 @@ def held(frame):
 @given(st.text(max_size=40) | st.text("a b\n\t▁é<|endoftext|>漢🙂\x00 ́</s>", max_size=40))
 @settings(max_examples=400, deadline=None)
 def test_one_text(text):
-    counts, spelled, same, odd = OWN.align(text)
+    found, whole = OWN.align([text])[0], OWN._align_run([text])[0] if text else None
     a, b, pairs, groups = plain(text)
-    assert counts == (len(a), len(b), len(groups), len(pairs)) and spelled == ";".join(groups)
-    linked = Counter((int(x), int(OWN.identity[x])) for x in same)
-    for key in odd:
-        linked.update(zip(*map(list, (x.tolist() for x in OWN.links(key)))))
+    assert (found.n_a, found.n_b, found.n_groups, found.spelled) == (len(a), len(b), len(groups), ";".join(groups))
+    assert whole is None or whole == found
+    linked = Counter((int(x), int(OWN.identity[x])) for x in np.frombuffer(found.same, "<u4"))
+    for key in found.odd:
+        linked.update(zip(*(x.tolist() for x in OWN.links(key))))
     assert linked == Counter(pairs)
 
 
+def test_cuts_and_generations(monkeypatch):
+    monkeypatch.setattr(align, "REMEMBERED", 8)
+    own = align.Aligner(*PATHS)
+    assert own.cuts
+    texts = [f"the  cat's {w} sat\n on {w}, {w}{w} \x1c{w} end " for w in ("a", "bé", "c" * 300, "漢", "d", "e")] * 2
+    for one, many in zip([own.align([t])[0] for t in texts], own.align(texts)):
+        assert one == many
+    assert [x.spelled for x in own.align(texts)] == [";".join(plain(t)[3]) for t in texts]
+
+
 def test_identity_map():
     for i, j in enumerate(OWN.identity.tolist()):
         assert j < 0 or OWN.bytes_a[i] == OWN.bytes_b[j]
