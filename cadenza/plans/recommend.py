@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.operators import (als, candidates, embeddings, features, indexing, metrics, ranking, sequences,
+from cadenza.operators import (als, candidates, embeddings, features, foldin, indexing, metrics, ranking, sequences,
                                serving, similarity, splits, windows)
 from cadenza.operators.clean import clean_events, dedup_events
 from cadenza.plans import sqltext as Q
@@ -27,6 +27,8 @@ TRAIN_PLAYLISTS, VALID_PLAYLISTS = 1200, 300
 SMALL_GRID = {"affinity_rank": [8, 16], "affinity_iterations": [3, 5], "tree_depth": [4, 5],
               "tree_step": [0.1, 0.2], "tree_rounds": [5, 10], "alpha": [0.1, 0.3, 0.5, 0.7]}
 K = 10
+# Rounds of boosting in the registered queries; the operator defaults to 200.
+ROUNDS = 10
 
 
 # -- joins and popularity ---------------------------------------------------
@@ -284,6 +286,46 @@ def rank_playlists(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.rank_playlists(table.drop("label"), ranker, rec, alpha=0.1, k=K)
 
 
+def rank_unseen_playlists(spark: SparkSession, sf: str) -> DataFrame:
+    """The test part ranked by models that saw the train part only, at full sizes, summed up per playlist.
+
+    What is known of an unseen playlist are its first tracks; its factor is solved from them."""
+    links = S.stored_links(spark, sf)
+    split = materialise(splits.split_playlists(S.playlists(spark, sf)), "split")
+    seen = materialise(links.join(split.filter("split = 'train'"), "pid", "left_semi"), "seen-links")
+    unseen = materialise(split.filter("split = 'test'").select("pid"), "unseen")
+    near = materialise(sequences.context_similarity(seen, FULL_NEAR), "neighbours")
+    popularity = materialise(features.track_popularity(seen), "popularity")
+    popular = features.popular_tracks(popularity, FULL_POPULAR)
+    sizes = {"per_seed": FULL_NEAR, "max_cands": FULL_CANDS}
+    chosen = materialise(splits.sample_playlists(seen.select("pid").distinct(), TRAIN_PLAYLISTS), "chosen")
+    train = materialise(candidates.candidate_features(seen, near, popularity, popular, only=chosen, **sizes), "train-features")
+    table = materialise(candidates.candidate_features(links, near, popularity, popular, only=unseen, labels=False, **sizes), "features")
+    seeds = candidates.seed_tracks(links.join(unseen, "pid", "left_semi"))
+    ratings = materialise(als.ratings_from(seeds, "ones"), "seed-ratings")
+    ranked = ranking.rank_unseen(table, ratings, ranking.fit_ranker(train, rounds=ROUNDS),
+                                 als.fit_als(als.ratings_from(seen, "ones")), k=FULL_K)
+    known = ratings.join(popularity, "track_uri", "left_semi").groupBy("pid").agg(F.count(F.lit(1)).alias("n_known"))
+    per = ranked.groupBy("pid").agg(
+        F.count(F.lit(1)).alias("n_ranked"), F.countDistinct("track_uri").alias("n_distinct"),
+        F.count_if(F.col("affinity") != 0).alias("_scored"),
+        (F.max_by("final_score", "rank") <= F.min_by("final_score", "rank")).alias("best_first"))
+    return per.join(known, "pid", "left").select(
+        "pid", "n_ranked", "n_distinct", "best_first", F.coalesce("n_known", F.lit(0)).alias("n_known"),
+        (F.col("_scored") > 0).alias("has_affinity"))
+
+
+def fold_in_trained(spark: SparkSession, sf: str) -> DataFrame:
+    """Factors of all playlists solved again from the item factors: whether they are the trained ones."""
+    ratings = materialise(als.ratings_from(S.membership(spark, sf)), "ratings")
+    rec = als.fit_als(ratings)
+    folded = foldin.fold_in(ratings, foldin.item_vectors(rec))
+    trained = foldin.user_vectors(rec).withColumnRenamed("vector", "trained")
+    off = F.array_max(F.zip_with("vector", "trained", lambda a, b: F.abs(a - b)))
+    size = F.array_max(F.transform("trained", lambda x: F.abs(x)))
+    return trained.join(folded, "pid", "left").select("pid", "n_known", (off <= 0.001 * (1 + size)).alias("agrees"))
+
+
 def random_search(spark: SparkSession, sf: str) -> DataFrame:
     links, near, popularity, popular = _corpus(spark, sf)
     chosen = materialise(splits.sample_playlists(_part(links, "train"), TRAIN_PLAYLISTS), "chosen")
@@ -418,6 +460,8 @@ QUERIES = {
     "rank_blend": rank_blend,
     "rank_topk": rank_topk,
     "rank_playlists": rank_playlists,
+    "rank_unseen_playlists": rank_unseen_playlists,
+    "fold_in_trained": fold_in_trained,
     "random_search": random_search,
     "precision_at_k": _metric("precision", "precision"),
     "recall_at_k": _metric("recall", "recall"),
@@ -452,6 +496,13 @@ _FINAL = "round(0.75 * t2v_score + 0.25 * (CAST(1 AS DOUBLE) / (cand_rank + 1)),
 _KV = f"""{_NEAR}, {Q.SEEDS}, {Q.SCORED.format(cands=K)}, recs AS (
   SELECT pid, list(track_uri ORDER BY cand_rank) AS recommendations FROM alike GROUP BY 1)"""
 
+_UNSEEN = f"""{_SHUFFLED}, {Q.LINKS.replace("links AS", "all_links AS", 1)},
+  links AS (SELECT l.* FROM all_links l JOIN parts USING (pid) WHERE split = 'train'),
+  unseen AS (SELECT l.* FROM all_links l JOIN parts USING (pid) WHERE split = 'test'),
+  {Q.NEIGHBOURS.removeprefix(Q.LINKS + ", ").format(near=FULL_NEAR)}, {Q.SEEDS.replace("FROM links", "FROM unseen")},
+  {Q.SCORED.format(cands=FULL_CANDS)},
+  {Q.MERGED.format(cands=FULL_CANDS, popular=FULL_POPULAR).replace("FROM links", "FROM unseen")}"""
+
 
 def _judged_sql(k: int) -> str:
     """Per-playlist metrics from the first ``k`` similar tracks of the seeds."""
@@ -539,6 +590,12 @@ ORACLES = {
       FROM (SELECT DISTINCT track_uri FROM members)"""
        for name in ("track2vec_neighbours", "skipgram_neighbours", "factor_neighbours")},
     "random_search": "SELECT CAST(t AS BIGINT) AS trial, true AS at_most_best, true AS in_range FROM range(1, 3) r(t)",
+    "rank_unseen_playlists": f"""{_UNSEEN}, known AS (SELECT pid, count(DISTINCT track_uri) AS n_known FROM seeds
+      WHERE track_uri IN (SELECT track_uri FROM links) GROUP BY 1)
+      SELECT pid, count(*) AS n_ranked, count(DISTINCT track_uri) AS n_distinct, true AS best_first,
+        coalesce(any_value(n_known), 0) AS n_known, coalesce(any_value(n_known), 0) > 0 AS has_affinity
+      FROM merged LEFT JOIN known USING (pid) GROUP BY pid""",
+    "fold_in_trained": _MEMBERS + " SELECT pid, count(DISTINCT track_uri) AS n_known, true AS agrees FROM members GROUP BY 1",
     "als_top10": _MEMBERS + f""" SELECT pid, least({K}, (SELECT count(DISTINCT track_uri) FROM members)) AS n_tracks,
       least({K}, (SELECT count(DISTINCT track_uri) FROM members)) AS n_distinct, true AS ordered
       FROM (SELECT DISTINCT pid FROM members)""",
