@@ -374,16 +374,25 @@ def ndcg_mean(spark: SparkSession, sf: str) -> DataFrame:
 # -- factorisation and serving ----------------------------------------------
 
 def als_top10(spark: SparkSession, sf: str) -> DataFrame:
-    rec = als.fit_als(als.ratings_from(S.membership(spark, sf)))
+    """Lists of all playlists with what exact search cannot get wrong: ``n_missed`` counts tracks of the
+    playlist itself that score above the last of its list without standing in it."""
+    ratings = materialise(als.ratings_from(S.membership(spark, sf)), "ratings")
+    rec = als.fit_als(ratings)
     recommended = materialise(als.recommend_all(rec, K), "recommended")
     scores = F.col("recommendations.rating")
     falls = F.forall(F.zip_with(F.slice(scores, 1, F.size(scores) - 1), F.slice(scores, 2, F.size(scores)),
                                 lambda a, b: a >= b), lambda x: x)
-    ordered = recommended.select("pid_numeric", falls.alias("ordered")).join(rec.users, "pid_numeric")
+    ordered = recommended.select("pid_numeric", falls.alias("ordered"), F.array_min(scores).alias("least")).join(rec.users, "pid_numeric")
     decoded = als.decode_recs(recommended, rec.users, rec.items)
-    return decoded.join(ordered, "pid").select(
+    lists = materialise(decoded.join(ordered, "pid"), "lists")
+    own = foldin.score_pairs(ratings.select("pid", "track_uri"), foldin.user_vectors(rec), foldin.item_vectors(rec))
+    missed = (own.join(lists, "pid").filter((F.col("affinity") > F.col("least") + 1e-4)
+                                            & ~F.array_contains("recommendations", F.col("track_uri")))
+              .groupBy("pid").agg(F.count(F.lit(1)).alias("n_missed")))
+    return lists.join(missed, "pid", "left").select(
         "pid", F.size("recommendations").cast("bigint").alias("n_tracks"),
-        F.size(F.array_distinct("recommendations")).cast("bigint").alias("n_distinct"), "ordered")
+        F.size(F.array_distinct("recommendations")).cast("bigint").alias("n_distinct"), "ordered",
+        F.coalesce("n_missed", F.lit(0)).alias("n_missed"))
 
 
 def als_rmse(spark: SparkSession, sf: str) -> DataFrame:
@@ -597,8 +606,8 @@ ORACLES = {
       FROM merged LEFT JOIN known USING (pid) GROUP BY pid""",
     "fold_in_trained": _MEMBERS + " SELECT pid, count(DISTINCT track_uri) AS n_known, true AS agrees FROM members GROUP BY 1",
     "als_top10": _MEMBERS + f""" SELECT pid, least({K}, (SELECT count(DISTINCT track_uri) FROM members)) AS n_tracks,
-      least({K}, (SELECT count(DISTINCT track_uri) FROM members)) AS n_distinct, true AS ordered
-      FROM (SELECT DISTINCT pid FROM members)""",
+      least({K}, (SELECT count(DISTINCT track_uri) FROM members)) AS n_distinct, true AS ordered,
+      CAST(0 AS BIGINT) AS n_missed FROM (SELECT DISTINCT pid FROM members)""",
     "als_rmse": f"""{_MEMBERS}, parts AS ({_PART}) SELECT count(*) AS n_rows, true AS in_range FROM parts
       WHERE part = 'validation' AND pid IN (SELECT pid FROM parts WHERE part = 'train')
       AND track_uri IN (SELECT track_uri FROM parts WHERE part = 'train')""",
