@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.operators import (als, candidates, embeddings, features, foldin, indexing, metrics, ranking, sequences,
-                               serving, similarity, splits, windows)
+                               serving, similarity, splits, towers, windows)
 from cadenza.operators.clean import clean_events, dedup_events
 from cadenza.plans import sqltext as Q
 from cadenza.plans import standins as S
@@ -326,6 +328,22 @@ def fold_in_trained(spark: SparkSession, sf: str) -> DataFrame:
     return trained.join(folded, "pid", "left").select("pid", "n_known", (off <= 0.001 * (1 + size)).alias("agrees"))
 
 
+def tower_affinity(spark: SparkSession, sf: str) -> DataFrame:
+    """Towers fitted on all links and three sampled negatives each: per playlist the pairs they score,
+    whether their loss ends below that of a constant, and links above negatives on the whole."""
+    pos = materialise(S.membership(spark, sf).distinct(), "positives")
+    neg = materialise(splits.negative_samples(pos, pos).select("pid", F.col("neg_track_uri").alias("track_uri")), "negatives")
+    fitted = towers.fit_towers(pos, neg, dim=32, epochs=6)
+    pairs = materialise(pos.withColumn("label", F.lit(1)).unionByName(neg.withColumn("label", F.lit(0))), "pairs")
+    scored = materialise(fitted.affinity(pairs, count_on=pairs), "scored")
+    mean = {r.label: r.m for r in scored.groupBy("label").agg(F.avg("affinity").alias("m")).collect()}
+    constant = -(0.25 * math.log(0.25) + 0.75 * math.log(0.75))  # one link to three negatives
+    return scored.groupBy("pid").agg(
+        F.count_if(F.col("label") == 1).alias("n_links"), F.count_if(F.col("label") == 0).alias("n_negatives"),
+        F.count("affinity").alias("n_scored")).withColumns(
+        {"fits": F.lit(fitted.losses[-1] < 0.9 * constant), "separates": F.lit(mean[1] > mean[0])})
+
+
 def random_search(spark: SparkSession, sf: str) -> DataFrame:
     links, near, popularity, popular = _corpus(spark, sf)
     chosen = materialise(splits.sample_playlists(_part(links, "train"), TRAIN_PLAYLISTS), "chosen")
@@ -471,6 +489,7 @@ QUERIES = {
     "rank_playlists": rank_playlists,
     "rank_unseen_playlists": rank_unseen_playlists,
     "fold_in_trained": fold_in_trained,
+    "tower_affinity": tower_affinity,
     "random_search": random_search,
     "precision_at_k": _metric("precision", "precision"),
     "recall_at_k": _metric("recall", "recall"),
@@ -605,6 +624,8 @@ ORACLES = {
         coalesce(any_value(n_known), 0) AS n_known, coalesce(any_value(n_known), 0) > 0 AS has_affinity
       FROM merged LEFT JOIN known USING (pid) GROUP BY pid""",
     "fold_in_trained": _MEMBERS + " SELECT pid, count(DISTINCT track_uri) AS n_known, true AS agrees FROM members GROUP BY 1",
+    "tower_affinity": _MEMBERS + """ SELECT pid, count(DISTINCT track_uri) AS n_links, 3 * count(DISTINCT track_uri) AS n_negatives,
+      4 * count(DISTINCT track_uri) AS n_scored, true AS fits, true AS separates FROM members GROUP BY 1""",
     "als_top10": _MEMBERS + f""" SELECT pid, least({K}, (SELECT count(DISTINCT track_uri) FROM members)) AS n_tracks,
       least({K}, (SELECT count(DISTINCT track_uri) FROM members)) AS n_distinct, true AS ordered,
       CAST(0 AS BIGINT) AS n_missed FROM (SELECT DISTINCT pid FROM members)""",
