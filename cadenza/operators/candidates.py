@@ -39,25 +39,26 @@ def neighbour_lists(neighbours: DataFrame, popularity: DataFrame, k: int) -> Dat
             .agg(F.collect_list(F.struct("neighbour", "score", "popularity")).alias("near")))
 
 
-def expand_seeds(seeds: DataFrame, lists: DataFrame) -> DataFrame:
+def expand_seeds(seeds: DataFrame, lists: DataFrame, few_seeds: bool = True) -> DataFrame:
     """(pid, track_uri, score, popularity): every neighbour of every seed. A
     track that is a seed of very many playlists is split over several tasks.
-    ``seeds`` is read several times; pass a stored table."""
-    return (salted_join(seeds, lists, "track_uri", ["pid"])
+    ``seeds`` is read several times; pass a stored table. With few seeds their lists
+    are shuffled by playlist whole, one record a seed, and taken apart after."""
+    held = salted_join(seeds, lists, "track_uri", ["pid"]).select("pid", "near")
+    return ((held.repartition("pid") if few_seeds else held)
             .select("pid", F.explode("near").alias("c"))
             .select("pid", F.col("c.neighbour").alias("track_uri"), "c.score", "c.popularity"))
 
 
-def sum_similarity(expanded: DataFrame, few_seeds: bool = True) -> DataFrame:
+def sum_similarity(expanded: DataFrame) -> DataFrame:
     """Summed similarity per (playlist, candidate).
 
-    With few seeds a playlist's rows are few (seeds x neighbours): shuffled by
-    playlist, not by pair, they need no further shuffle for the ranking that
+    Rows of few seeds (seeds x neighbours a playlist) come shuffled by playlist, not
+    by pair, and need no further shuffle, also for the ranking that
     follows. With seeds in unlimited number the rows are combined and shuffled
     by pair, so that a very long playlist is not one task.
     """
-    rows = expanded.repartition("pid") if few_seeds else expanded
-    return (rows.groupBy("pid", "track_uri")
+    return (expanded.groupBy("pid", "track_uri")
             .agg(F.round(F.sum("score"), 6).alias("t2v_score"), F.max("popularity").alias("popularity")))
 
 
@@ -68,7 +69,7 @@ def top_candidates(scores: DataFrame, k: int = 500) -> DataFrame:
 
 
 def candidates(seeds: DataFrame, lists: DataFrame, k: int = 500, few_seeds: bool = True) -> DataFrame:
-    return top_candidates(sum_similarity(expand_seeds(seeds, lists), few_seeds), k)
+    return top_candidates(sum_similarity(expand_seeds(seeds, lists, few_seeds)), k)
 
 
 def popular_list(popular: DataFrame) -> Column:

@@ -69,6 +69,7 @@ def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c.replace('.', '_')}_null") for c in cols])
 
 
-def join_artist_meta(tracks: DataFrame, meta: DataFrame, spread_by: list[str]) -> DataFrame:
-    """Tracks with the country of their artist; a dominant artist is split."""
-    return salted_join(tracks, meta, "artist_name", spread_by)
+def join_artist_meta(tracks: DataFrame, meta: DataFrame, spread_by: list[str],
+                     count_on: DataFrame | None = None) -> DataFrame:
+    """Tracks with the country of their artist; a dominant artist is split. ``count_on`` as in ``salted_join``."""
+    return salted_join(tracks, meta, "artist_name", spread_by, count_on=count_on)

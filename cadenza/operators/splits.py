@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.columns import hash_order
 from cadenza.operators.indexing import index_alpha, size_of
-from cadenza.operators.ordering import hash_rank
+from cadenza.operators.ordering import BLOCK, hash_rank
 from cadenza.operators.skew import salted_join
 
 
@@ -60,6 +60,18 @@ def seed_truth_split(links: DataFrame, ratio: float = 0.3, at_least: int = 5) ->
             .withColumn("role", F.when(F.col("pos") < k, "seed").otherwise("truth")))
 
 
+def eval_sets(roles: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(pid, part, seed_tracks, gt_tracks) of rows with a role, in order. A playlist longer than
+    ``block`` goes on in further parts, so no record grows without bound."""
+    part = F.floor(F.col("pos") / block)
+
+    def of(role: str) -> Column:
+        rows = F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("pos", "track_uri"))))
+        return F.transform(rows, lambda r: r["track_uri"])
+
+    return roles.groupBy("pid", part.alias("part")).agg(of("seed").alias("seed_tracks"), of("truth").alias("gt_tracks"))
+
+
 def positives(df: DataFrame) -> DataFrame:
     return df.filter(F.col("label") == 1)
 

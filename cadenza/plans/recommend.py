@@ -13,6 +13,7 @@ from cadenza.operators.clean import clean_events, dedup_events
 from cadenza.plans import sqltext as Q
 from cadenza.plans import standins as S
 from cadenza.plans.jobs import Locations, run_chain
+from cadenza.sinks import publish
 from cadenza.sinks.tables import write_json, write_table
 from cadenza.sources.slices import read_json_lines
 from cadenza.sources.tables import dim_from_rows
@@ -40,7 +41,10 @@ def artist_country_join(spark: SparkSession, sf: str) -> DataFrame:
                                                 F.col("s_nationkey") == F.col("n_nationkey"))
             .select(F.col("s_name").alias("artist_name"), F.col("n_name").alias("country")))
     tracks = S.flat(spark, sf).select("pid", "track_uri", "track_name", "artist_name")
-    return features.join_artist_meta(tracks, meta, ["pid", "track_uri"])
+    counted = (S.table(spark, sf, "lineitem").select("l_suppkey")
+               .join(S.table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+               .select(F.col("s_name").alias("artist_name")))
+    return features.join_artist_meta(tracks, meta, ["pid", "track_uri"], counted)
 
 
 def artist_meta_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,8 +93,8 @@ def known_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lookup_unseen_default(spark: SparkSession, sf: str) -> DataFrame:
-    rows = splits.hash_split_rows(S.membership(spark, sf).distinct(), ["pid"], 1)
-    seen = materialise(indexing.index_alpha(rows.filter(F.col("part") == "train"), "track_uri"), "seen")
+    rows, _, tracks = _known(spark, sf)
+    seen = materialise(indexing.index_alpha(tracks, "track_uri"), "seen")
     first = indexing.lookup_or(rows.select("pid", "track_uri"), seen, "track_uri", F.lit(-1).cast("bigint"), ["pid"])
     return first.withColumn("idx_or_last", F.when(F.col("idx") < 0, indexing.size_of(seen)).otherwise(F.col("idx")))
 
@@ -116,6 +120,14 @@ def splits_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_playlists"))
 
 
+def eval_sets_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Seeds and truth of every playlist that is long enough, written as JSON and read back."""
+    path = run_dir(spark, "eval-sets")
+    write_json(splits.eval_sets(splits.seed_truth_split(S.stored_links(spark, sf))), path)
+    back = read_json_lines(spark, path, "pid bigint, part bigint, seed_tracks array<string>, gt_tracks array<string>")
+    return back.select("pid", "part", *[F.concat_ws(",", c).alias(c) for c in ("seed_tracks", "gt_tracks")])
+
+
 def sample_playlists(spark: SparkSession, sf: str) -> DataFrame:
     return splits.sample_playlists(S.playlists(spark, sf), TRAIN_PLAYLISTS)
 
@@ -258,14 +270,11 @@ def rank_topk(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.rank_topk(_blended(spark, sf), K).select("pid", "rank", "track_uri", "final_score")
 
 
-def _fitted(spark: SparkSession, sf: str):
-    """Candidate table of all playlists; trees fitted on a sample of them, factors on all links."""
-    links, near, popularity, popular = _corpus(spark, sf)
-    table = materialise(candidates.candidate_features(links, near, popularity, popular,
-                                                      per_seed=NEAR, max_cands=CANDS), "features")
-    sample = splits.sample_playlists(_part(links, "train"), TRAIN_PLAYLISTS)
-    train = materialise(table.join(sample, "pid", "left_semi"), "train-features")
-    return table, ranking.fit_ranker(train, depth=5, rounds=10), als.fit_als(als.ratings_from(links))
+def _table(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Links and the candidate table of all playlists, at full sizes."""
+    links, near, popularity, popular = _corpus(spark, sf, FULL_NEAR, FULL_POPULAR)
+    return links, materialise(candidates.candidate_features(
+        links, near, popularity, popular, per_seed=FULL_NEAR, max_cands=FULL_CANDS), "features")
 
 
 def _part(links: DataFrame, part: str) -> DataFrame:
@@ -276,16 +285,32 @@ def _part(links: DataFrame, part: str) -> DataFrame:
 
 def affinity_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Candidate pairs whose two sides both have factors, per playlist: all of them."""
-    table, _, rec = _fitted(spark, sf)
-    scored = als.affinity(table.select("pid", "track_uri"), rec, count_on=table)
+    links, table = _table(spark, sf)
+    scored = als.affinity(table.select("pid", "track_uri"), als.fit_als(als.ratings_from(links)), count_on=table)
     return scored.groupBy("pid").agg(F.count(F.lit(1)).alias("n_candidates"),
                                      F.count_if(F.col("affinity") != 0).alias("n_scored")).select(
         "pid", (F.col("n_scored") > 0).alias("has_affinity"), "n_candidates")
 
 
+def _ranking_digest(ranked: DataFrame) -> DataFrame:
+    """Per playlist how many tracks were ranked, how many different ones, and whether scores never rise."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("rank", "final_score"))), lambda r: r["final_score"])
+    return ranked.groupBy("pid").agg(F.count(F.lit(1)).alias("n_ranked"), F.countDistinct("track_uri").alias("n_distinct"),
+                                     ordered.alias("_s")).select(
+        "pid", "n_ranked", "n_distinct",
+        F.forall(F.zip_with(F.slice("_s", 1, F.size("_s") - 1), F.slice("_s", 2, F.size("_s")), lambda a, b: a >= b),
+                 lambda x: x).alias("best_first"))
+
+
 def rank_playlists(spark: SparkSession, sf: str) -> DataFrame:
-    table, ranker, rec = _fitted(spark, sf)
-    return ranking.rank_playlists(table.drop("label"), ranker, rec, alpha=0.1, k=K)
+    """All playlists ranked at the operators' own sizes, summed up: trees fitted on a sample of the train
+    part, factors on all links."""
+    links, table = _table(spark, sf)
+    sample = splits.sample_playlists(_part(links, "train"), TRAIN_PLAYLISTS)
+    train = materialise(table.join(sample, "pid", "left_semi"), "train-features")
+    ranked = ranking.rank_playlists(table.drop("label"), ranking.fit_ranker(train), als.fit_als(als.ratings_from(links)),
+                                    alpha=0.1, k=FULL_K)
+    return _ranking_digest(ranked)
 
 
 def rank_unseen_playlists(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,13 +333,10 @@ def rank_unseen_playlists(spark: SparkSession, sf: str) -> DataFrame:
     ranked = ranking.rank_unseen(table, ratings, ranking.fit_ranker(train, rounds=ROUNDS),
                                  als.fit_als(als.ratings_from(seen, "ones")), k=FULL_K)
     known = ratings.join(popularity, "track_uri", "left_semi").groupBy("pid").agg(F.count(F.lit(1)).alias("n_known"))
-    per = ranked.groupBy("pid").agg(
-        F.count(F.lit(1)).alias("n_ranked"), F.countDistinct("track_uri").alias("n_distinct"),
-        F.count_if(F.col("affinity") != 0).alias("_scored"),
-        (F.max_by("final_score", "rank") <= F.min_by("final_score", "rank")).alias("best_first"))
-    return per.join(known, "pid", "left").select(
-        "pid", "n_ranked", "n_distinct", "best_first", F.coalesce("n_known", F.lit(0)).alias("n_known"),
-        (F.col("_scored") > 0).alias("has_affinity"))
+    ranked = materialise(ranked, "ranked")
+    affine = ranked.groupBy("pid").agg((F.count_if(F.col("affinity") != 0) > 0).alias("has_affinity"))
+    return _ranking_digest(ranked).join(affine, "pid").join(known, "pid", "left").withColumn(
+        "n_known", F.coalesce("n_known", F.lit(0)))
 
 
 def fold_in_trained(spark: SparkSession, sf: str) -> DataFrame:
@@ -345,20 +367,21 @@ def tower_affinity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def random_search(spark: SparkSession, sf: str) -> DataFrame:
-    links, near, popularity, popular = _corpus(spark, sf)
+    links, near, popularity, popular = _corpus(spark, sf, FULL_NEAR, FULL_POPULAR)
+    sizes, path = {"per_seed": FULL_NEAR, "max_cands": FULL_CANDS}, run_dir(spark, "trials")
     chosen = materialise(splits.sample_playlists(_part(links, "train"), TRAIN_PLAYLISTS), "chosen")
     held = materialise(splits.sample_playlists(_part(links, "val"), VALID_PLAYLISTS, seed=7), "held")
-    table = candidates.candidate_features(links, near, popularity, popular, only=chosen, per_seed=NEAR, max_cands=CANDS)
-    valid = candidates.candidate_features(links, near, popularity, popular, only=held, per_seed=NEAR, max_cands=CANDS)
+    table = candidates.candidate_features(links, near, popularity, popular, only=chosen, **sizes)
+    valid = candidates.candidate_features(links, near, popularity, popular, only=held, **sizes)
     played = links.join(held, "pid", "left_semi")
     seeds = _seeds(played).select("pid", "track_uri")
     truth = materialise(played.select("pid", "track_uri").join(seeds, ["pid", "track_uri"], "left_anti"), "truth")
     # All links but the truth: validation playlists have factors, from their seeds.
     ratings = als.ratings_from(links.join(truth.distinct(), ["pid", "track_uri"], "left_anti"))
-    _, log = ranking.random_search(table, valid.drop("label"), truth, n=2, grid=SMALL_GRID,
-                                   log=run_dir(spark, "trials"), ratings=ratings)
+    best_trial, _ = ranking.random_search(table, valid.drop("label"), truth, n=2, grid=SMALL_GRID, log=path, ratings=ratings)
+    log = spark.read.option("header", True).option("inferSchema", True).csv(path).withColumn("trial", F.col("trial").cast("bigint"))
     best = F.max("score").over(Window.partitionBy(F.lit(1)))  # a row per trial
-    return log.select("trial", (F.col("score") <= best).alias("at_most_best"),
+    return log.select("trial", ((F.col("score") <= best) & (best == best_trial["score"])).alias("at_most_best"),
                       (F.col("score").between(0, 1) & (F.col("affinity_share") > 0)).alias("in_range"))
 
 
@@ -366,10 +389,10 @@ def random_search(spark: SparkSession, sf: str) -> DataFrame:
 
 def _judged(spark: SparkSession, sf: str, k: int) -> DataFrame:
     """Seeds are the first 30 % of a playlist, the rest is the truth."""
-    links, near, popularity, _ = _corpus(spark, sf)
+    links, near, popularity, _ = _corpus(spark, sf, FULL_NEAR)
     roles = materialise(splits.seed_truth_split(links), "roles")
     seeds = roles.filter(F.col("role") == "seed").select("pid", "track_uri")
-    preds = candidates.candidates(seeds, candidates.neighbour_lists(near, popularity, NEAR), k, few_seeds=False)
+    preds = candidates.candidates(seeds, candidates.neighbour_lists(near, popularity, FULL_NEAR), k, few_seeds=False)
     truth = roles.filter(F.col("role") == "truth").select("pid", "track_uri")
     return metrics.ranking_metrics(preds.withColumnRenamed("cand_rank", "rank"), truth, k)
 
@@ -441,12 +464,28 @@ def lookup_recommendations(spark: SparkSession, sf: str) -> DataFrame:
         "recommended_tracks", F.concat_ws(",", "recommended_tracks"))
 
 
+def publish_by_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes sent by a second and a third publish: of playlists with one priority the lists get
+    shorter, those with another vanish; then nothing changes any more."""
+    recs = materialise(_recommended(spark, sf), "recs")
+    urgency = S.table(spark, sf, "orders").select(F.col("o_orderkey").alias("pid"), "o_orderpriority")
+    shorter = F.when(F.col("o_orderpriority") == "1-URGENT", F.slice("recommendations", 1, 5)).otherwise(F.col("recommendations"))
+    later = recs.join(urgency, "pid").filter("o_orderpriority <> '5-LOW'").select("pid", shorter.alias("recommendations"))
+    snapshots, log = run_dir(spark, "published"), run_dir(spark, "changes")
+    for version in (recs, later, later):
+        publish.publish_changes(serving.to_kv(version), snapshots, publish.to_log(log))
+    return publish.read_log(spark, log).filter("version > 1").select(
+        F.col("version").cast("int").alias("version"), "key", "op", F.coalesce("value", F.lit("")).alias("value"))
+
+
 def train_publish_chain(spark: SparkSession, sf: str) -> DataFrame:
-    at = Locations(*(run_dir(spark, n) for n in ("features", "flat", "daily", "model", "kv")))
+    at = Locations(*(run_dir(spark, n) for n in ("features", "flat", "daily", "model", "kv", "state", "published")))
+    sent = run_dir(spark, "sent")
     events = dedup_events(clean_events(S.messages(spark, sf)))
     windows.features_5m(events).write.parquet(at.features)
     write_table(S.flat(spark, sf), at.flat)
-    return serving.from_kv(run_chain(spark, at, K)).select(
+    run_chain(spark, at, K, sink=publish.to_log(sent))
+    return serving.from_kv(publish.read_log(spark, sent).filter(F.col("op") == publish.PUT)).select(
         "pid", F.size("recommendations").alias("n_recommended"))
 
 
@@ -465,6 +504,7 @@ QUERIES = {
     "random_row_split": random_row_split,
     "split_playlists": split_playlists,
     "splits_roundtrip": splits_roundtrip,
+    "eval_sets_roundtrip": eval_sets_roundtrip,
     "sample_playlists": sample_playlists,
     "min_tracks": min_tracks,
     "seed_truth_split": seed_truth_split,
@@ -502,6 +542,7 @@ QUERIES = {
     "als_rmse": als_rmse,
     "recommendations_kv": recommendations_kv,
     "lookup_recommendations": lookup_recommendations,
+    "publish_by_difference": publish_by_difference,
     "train_publish_chain": train_publish_chain,
 }
 
@@ -516,6 +557,9 @@ _SHUFFLED = f"""WITH shuffled AS (SELECT o_orderkey AS pid, row_number() OVER (
     WHEN rank < floor(n * CAST(0.7 AS DOUBLE)) + floor(n * CAST(0.15 AS DOUBLE)) THEN 'val'
     ELSE 'test' END AS split FROM shuffled)"""
 _NEAR = f"WITH {Q.NEIGHBOURS.format(near=NEAR)}"
+_NEAR_FULL = f"WITH {Q.NEIGHBOURS.format(near=FULL_NEAR)}"
+_MERGED_FULL = (f"{_NEAR_FULL}, {Q.SEEDS}, {Q.SCORED.format(cands=FULL_CANDS)}, "
+                f"{Q.MERGED.format(cands=FULL_CANDS, popular=FULL_POPULAR)}")
 _SCORED = f"{_NEAR}, {Q.SEEDS}, {Q.SCORED.format(cands=CANDS)}"
 _MERGED = f"{_SCORED}, {Q.MERGED.format(cands=CANDS, popular=POPULAR)}"
 _FEATURED = f"{_MERGED}, {Q.FEATURED}"
@@ -535,7 +579,7 @@ _UNSEEN = f"""{_SHUFFLED}, {Q.LINKS.replace("links AS", "all_links AS", 1)},
 def _judged_sql(k: int) -> str:
     """Per-playlist metrics from the first ``k`` similar tracks of the seeds."""
     roles = Q.ROLES.removeprefix(Q.LINKS + ", ")
-    return f"""{_NEAR}, {roles}, seeds AS (SELECT pid, track_uri FROM roles WHERE role = 'seed'),
+    return f"""{_NEAR_FULL}, {roles}, seeds AS (SELECT pid, track_uri FROM roles WHERE role = 'seed'),
       {Q.SCORED.format(cands=k)}, truth AS (SELECT pid, track_uri FROM roles WHERE role = 'truth'),
       hits AS (SELECT pid, cand_rank AS i, CAST((pid, track_uri) IN (SELECT (pid, track_uri) FROM truth) AS INTEGER)
                AS rel FROM alike),
@@ -572,13 +616,16 @@ ORACLES = {
     "known_rows": f"""{_MEMBERS}, parts AS ({_PART}) SELECT * FROM parts WHERE part = 'validation'
       AND pid IN (SELECT pid FROM parts WHERE part = 'train')
       AND track_uri IN (SELECT track_uri FROM parts WHERE part = 'train')""",
-    "lookup_unseen_default": f"""{_MEMBERS}, rows AS (SELECT DISTINCT * FROM members), seen AS (
-      SELECT track_uri, row_number() OVER (ORDER BY track_uri) - 1 AS idx FROM (SELECT DISTINCT track_uri FROM rows
-      WHERE {Q.hash_order("CAST(pid AS VARCHAR)")} % 100 < 1))
+    "lookup_unseen_default": f"""{_MEMBERS}, rows AS (SELECT DISTINCT * FROM members), parts AS ({_PART}), seen AS (
+      SELECT track_uri, row_number() OVER (ORDER BY track_uri) - 1 AS idx FROM (SELECT DISTINCT track_uri FROM parts
+      WHERE part = 'train'))
       SELECT pid, track_uri, coalesce(idx, -1) AS idx, coalesce(idx, (SELECT count(*) FROM seen)) AS idx_or_last
       FROM rows LEFT JOIN seen USING (track_uri)""",
     "split_playlists": _SHUFFLED + " SELECT pid, split FROM parts",
     "splits_roundtrip": _SHUFFLED + " SELECT split, count(*) AS n_playlists FROM parts GROUP BY 1",
+    "eval_sets_roundtrip": f"""WITH {Q.ROLES} SELECT pid, pos // 1000 AS part,
+      coalesce(string_agg(track_uri, ',' ORDER BY pos) FILTER (role = 'seed'), '') AS seed_tracks,
+      coalesce(string_agg(track_uri, ',' ORDER BY pos) FILTER (role = 'truth'), '') AS gt_tracks FROM roles GROUP BY 1, 2""",
     "sample_playlists": _SHUFFLED + f" SELECT pid FROM parts WHERE rank < {TRAIN_PLAYLISTS}",
     "min_tracks": _MEMBERS + " SELECT pid, count(*) AS n_tracks FROM members GROUP BY 1 HAVING count(*) >= 5",
     "seed_truth_split": f"WITH {Q.ROLES} SELECT * FROM roles",
@@ -612,7 +659,9 @@ ORACLES = {
       CAST(sum(seed_overlap) AS BIGINT) AS n_seeds, CAST(sum(label) FILTER (seed_overlap = 0) AS BIGINT) AS n_relevant,
       max(playlist_len) AS playlist_len, arg_min(track_uri, cand_rank) AS first_track,
       arg_max(track_uri, cand_rank) AS last_track FROM featured GROUP BY pid""",
-    "affinity_coverage": f"{_MERGED} SELECT pid, true AS has_affinity, count(*) AS n_candidates FROM merged GROUP BY pid",
+    "rank_playlists": f"""{_MERGED_FULL} SELECT pid, count(*) AS n_ranked, count(DISTINCT track_uri) AS n_distinct,
+      true AS best_first FROM merged GROUP BY pid""",
+    "affinity_coverage": f"{_MERGED_FULL} SELECT pid, true AS has_affinity, count(*) AS n_candidates FROM merged GROUP BY pid",
     **{name: _MEMBERS + f""" SELECT track_uri, least({FULL_NEAR}, count(*) OVER () - 1) AS n_neighbours,
       least({FULL_NEAR}, count(*) OVER () - 1) AS n_distinct, true AS no_self, true AS falls
       FROM (SELECT DISTINCT track_uri FROM members)"""
@@ -645,6 +694,14 @@ ORACLES = {
     "ndcg_mean": _judged_sql(100) + " SELECT round(avg(ndcg), 4) AS ndcg FROM judged",
     "recommendations_kv": _KV + """ SELECT 'recommendations:' || pid AS key,
       '["' || array_to_string(recommendations, '","') || '"]' AS value FROM recs""",
+    "publish_by_difference": _KV + """ SELECT 2 AS version, 'recommendations:' || pid AS key,
+      CASE WHEN o_orderpriority = '5-LOW' THEN 'remove' ELSE 'put' END AS op, CASE WHEN o_orderpriority = '5-LOW' THEN ''
+      ELSE '["' || array_to_string(recommendations[1:5], '","') || '"]' END AS value
+      FROM recs JOIN orders ON o_orderkey = pid
+      WHERE o_orderpriority = '5-LOW' OR (o_orderpriority = '1-URGENT' AND len(recommendations) > 5)""",
+    "train_publish_chain": f"""WITH {Q.F5M} SELECT pid, CAST(least({K}, (SELECT count(DISTINCT track_uri) FROM (
+        SELECT 'track:' || l_partkey AS track_uri FROM lineitem UNION SELECT track_uri FROM f5m))) AS INTEGER) AS n_recommended
+      FROM (SELECT l_orderkey AS pid FROM lineitem UNION SELECT pid FROM f5m)""",
     "lookup_recommendations": _KV + """ SELECT o_orderkey AS pid, recommendations IS NOT NULL AS found,
       coalesce(array_to_string(recommendations, ','), '') AS recommended_tracks
       FROM orders LEFT JOIN recs ON pid = o_orderkey""",
