@@ -66,6 +66,23 @@ def test_nearest_neighbours_are_exact(spark, shape):
     assert sorted(r["rank"] for r in rows if r.track_uri == "t000") == [1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("shape", ["random", "clusters", "one place"])
+def test_large_cells_have_cells_of_their_own(spark, monkeypatch, shape):
+    monkeypatch.setattr(similarity, "PART_ROWS", 50)
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(400, 5))
+    if shape == "clusters":
+        v = rng.normal(size=(20, 5))[rng.integers(0, 20, 400)] * 5 + rng.normal(size=(400, 5)) * 0.05
+    if shape == "one place":
+        v[:200] = v[0] + rng.normal(size=(200, 5)) * 1e-3
+    ids = [f"t{i:03d}" for i in range(400)]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, v)], "track_uri string, vector array<double>")
+    got = defaultdict(list)
+    for r in sorted(similarity.nearest_neighbours(df, 4, block_rows=16, max_pivots=5).collect(), key=lambda r: (r.track_uri, r["rank"])):
+        got[r.track_uri].append(r.neighbour)
+    assert dict(got) == brute(ids, v, 4)
+
+
 def test_fewer_vectors_than_k(spark):
     df = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 1.0])], "track_uri string, vector array<double>")
     rows = similarity.nearest_neighbours(df, 5).collect()
