@@ -16,6 +16,7 @@ from cadenza.sinks.upsert import read_latest
 from cadenza.sources.events import read_features_stream, read_slice_stream
 from cadenza.sources.tables import read_table
 from cadenza.streaming import jobs
+from cadenza.streaming import windows as stream_windows
 from cadenza.workspace import run_dir
 
 
@@ -107,6 +108,25 @@ def _stream(branch):
     return run
 
 
+def stream_features_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All three window lengths from one stream. The later half of the events comes in a second
+    delivery, with all earlier ones again, after the stream was stopped; it goes on where it was."""
+    source, out, ckpt = (run_dir(spark, n) for n in ("messages", "all-windows", "all-ckpt"))
+    events = S.table(spark, sf, "events")
+    middle = events.agg(F.percentile_approx(F.col("ts").cast("timestamp"), 0.5).alias("m")).scalar()
+    for part in (events.filter(F.col("ts").cast("timestamp") <= middle), events):
+        S.event_messages(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("key string, value string").parquet(source)
+        with jobs.state_partitions(spark):
+            _run(jobs.start_feature_sink(stream_windows.all_windows(stream), out, ckpt, {"availableNow": True}))
+    none = F.lit("")
+    return read_table(spark, out).select(
+        "kind", "pid", "track_uri", F.coalesce("playlist_name", none).alias("playlist_name"), "event_count",
+        stamp("window_start").alias("window_start"), stamp("window_end").alias("window_end"),
+        F.when(F.col("kind") != "5m", stamp("last_seen_ts")).otherwise(none).alias("last_seen_ts"),
+        F.when(F.col("kind") == "1d", stamp("first_seen_ts")).otherwise(none).alias("first_seen_ts"))
+
+
 def stream_upsert_features(spark: SparkSession, sf: str) -> DataFrame:
     """Counts of a first pass that saw every delivery are replaced, key by key,
     by the deduplicated ones; the stream is stopped and resumed in between."""
@@ -147,6 +167,7 @@ QUERIES = {
     "stream_features_5m": _stream(jobs.stream_5m),
     "stream_features_1h": _stream(jobs.stream_1h),
     "stream_features_1d": _stream(jobs.stream_1d),
+    "stream_features_all": stream_features_all,
     "stream_upsert_features": stream_upsert_features,
     "stream_ingest_slices": stream_ingest_slices,
     "backfill_check": backfill_check,
@@ -199,3 +220,10 @@ ORACLES = {
     "backfill_check": _F5 + "SELECT count(*) AS n_rows, true AS has_files FROM f5m",
 }
 ORACLES["rollup_incremental"] = ORACLES["daily_rollup"]
+ORACLES["stream_features_all"] = f"""
+  SELECT '5m' AS kind, pid, track_uri, '' AS playlist_name, event_count, window_start, window_end, '' AS last_seen_ts,
+    '' AS first_seen_ts FROM ({ORACLES["stream_features_5m"]})
+  UNION ALL SELECT '1h', pid, track_uri, playlist_name, event_count, window_start, window_end, last_seen_ts, ''
+    FROM ({ORACLES["stream_features_1h"]})
+  UNION ALL SELECT '1d', pid, track_uri, playlist_name, event_count, window_start, window_end, last_seen_ts, first_seen_ts
+    FROM ({ORACLES["stream_features_1d"]})"""
