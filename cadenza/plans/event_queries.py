@@ -12,7 +12,7 @@ from cadenza.plans import sqltext as Q
 from cadenza.plans import standins as S
 from cadenza.plans.etl import stamp
 from cadenza.schemas import CORRUPT, SLICE
-from cadenza.sinks.upsert import read_latest
+from cadenza.sinks.upsert import compact_buckets, read_latest, read_merged, upsert_bucketed
 from cadenza.sources.events import read_features_stream, read_slice_stream
 from cadenza.sources.tables import read_table
 from cadenza.streaming import jobs
@@ -139,6 +139,19 @@ def stream_upsert_features(spark: SparkSession, sf: str) -> DataFrame:
     return _readable(read_latest(spark, target, ["pid", "track_uri", "window"]))
 
 
+def stream_upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same two passes into a table of buckets, which is compacted between and after them."""
+    source, target, ckpt = (run_dir(spark, n) for n in ("features-5m", "buckets", "bucket-ckpt"))
+    keys = ["pid", "track_uri", "window"]
+    first = windows.features_5m(clean.clean_events(S.messages(spark, sf)))
+    for features in (first, windows.features_5m(_deduped(spark, sf))):
+        features.write.mode("append").parquet(source)
+        _run(jobs.run_upsert_stream(read_features_stream(spark, source, max_files=1000), target, ckpt,
+                                    {"availableNow": True}, upsert_bucketed(target, keys)))
+        compact_buckets(spark, target, keys)
+    return _readable(read_merged(spark, target, keys))
+
+
 def stream_ingest_slices(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType(SLICE.fields + [T.StructField(CORRUPT, T.StringType())])
     out = run_dir(spark, "ingested")
@@ -169,6 +182,7 @@ QUERIES = {
     "stream_features_1d": _stream(jobs.stream_1d),
     "stream_features_all": stream_features_all,
     "stream_upsert_features": stream_upsert_features,
+    "stream_upsert_buckets": stream_upsert_buckets,
     "stream_ingest_slices": stream_ingest_slices,
     "backfill_check": backfill_check,
 }
@@ -216,6 +230,7 @@ ORACLES = {
     "stream_features_1h": _window("1 hour", False, "2 hours"),
     "stream_features_1d": _window("1 day", True, "2 days"),
     "stream_upsert_features": _F5 + _5M,
+    "stream_upsert_buckets": _F5 + _5M,
     "stream_ingest_slices": f"WITH {Q.FLAT} SELECT * FROM flat",
     "backfill_check": _F5 + "SELECT count(*) AS n_rows, true AS has_files FROM f5m",
 }

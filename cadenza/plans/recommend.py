@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.operators import (als, candidates, embeddings, features, foldin, indexing, metrics, ranking, sequences,
+from cadenza.operators import (als, bitmaps, candidates, embeddings, features, foldin, indexing, metrics, ranking, sequences,
                                serving, similarity, splits, towers, windows)
 from cadenza.operators.clean import clean_events, dedup_events
 from cadenza.plans import sqltext as Q
@@ -464,6 +464,29 @@ def lookup_recommendations(spark: SparkSession, sf: str) -> DataFrame:
         "recommended_tracks", F.concat_ws(",", "recommended_tracks"))
 
 
+def lookup_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """A point lookup of the hundred most expensive playlists and of one that does not exist."""
+    path = run_dir(spark, "served")
+    serving.write_served(recommendations_kv(spark, sf), path)
+    orders = S.table(spark, sf, "orders")
+    ids = [r[0] for r in orders.orderBy(F.desc("o_totalprice"), "o_orderkey").select("o_orderkey").limit(100).collect()]
+    return serving.lookup_ids(spark, path, [*ids, -1]).withColumn(
+        "recommended_tracks", F.coalesce(F.concat_ws(",", "recommended_tracks"), F.lit("")))
+
+
+def artist_playlists_by_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct playlists of each artist from daily bitmaps; the second half of the days is
+    added to the bitmaps of the first without reading its rows again."""
+    orders = S.table(spark, sf, "orders").select(F.col("o_orderkey").alias("pid"), F.to_date("o_orderdate").alias("day"))
+    rows = S.links(spark, sf).join(orders, "pid").select("artist_uri", "pid", "day")
+    middle = orders.agg(F.date_from_unix_date(F.percentile_approx(F.unix_date("day"), 0.5)).alias("m")).scalar()
+    ids, held = None, []
+    for part in (rows.filter(F.col("day") <= middle), rows.filter(F.col("day") > middle)):
+        ids = materialise(bitmaps.append_ids(ids, part, "pid"), "playlist-ids")
+        held.append(materialise(bitmaps.daily_bitmaps(part, ids, ["artist_uri"], "day", "pid"), "bitmaps"))
+    return bitmaps.distinct_counts(held[0].unionByName(held[1]), ["artist_uri"], "n_playlists")
+
+
 def publish_by_difference(spark: SparkSession, sf: str) -> DataFrame:
     """Changes sent by a second and a third publish: of playlists with one priority the lists get
     shorter, those with another vanish; then nothing changes any more."""
@@ -542,6 +565,8 @@ QUERIES = {
     "als_rmse": als_rmse,
     "recommendations_kv": recommendations_kv,
     "lookup_recommendations": lookup_recommendations,
+    "lookup_pruned": lookup_pruned,
+    "artist_playlists_by_bitmap": artist_playlists_by_bitmap,
     "publish_by_difference": publish_by_difference,
     "train_publish_chain": train_publish_chain,
 }
@@ -694,6 +719,11 @@ ORACLES = {
     "ndcg_mean": _judged_sql(100) + " SELECT round(avg(ndcg), 4) AS ndcg FROM judged",
     "recommendations_kv": _KV + """ SELECT 'recommendations:' || pid AS key,
       '["' || array_to_string(recommendations, '","') || '"]' AS value FROM recs""",
+    "lookup_pruned": _KV + """, asked AS (SELECT o_orderkey AS pid FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100)
+      SELECT a.pid, recommendations IS NOT NULL AS found, coalesce(array_to_string(recommendations, ','), '') AS recommended_tracks
+      FROM (SELECT pid FROM asked UNION ALL SELECT -1) a LEFT JOIN recs USING (pid)""",
+    "artist_playlists_by_bitmap": """SELECT 'artist:' || l_suppkey AS artist_uri, CAST(count(DISTINCT l_orderkey) AS BIGINT) AS n_playlists
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
     "publish_by_difference": _KV + """ SELECT 2 AS version, 'recommendations:' || pid AS key,
       CASE WHEN o_orderpriority = '5-LOW' THEN 'remove' ELSE 'put' END AS op, CASE WHEN o_orderpriority = '5-LOW' THEN ''
       ELSE '["' || array_to_string(recommendations[1:5], '","') || '"]' END AS value
