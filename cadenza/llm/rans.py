@@ -124,30 +124,38 @@ def decode_block(blob: bytes, table: Table, first: int = 0, last: int | None = N
 def token_records(docs: DataFrame, tokenizer_path: str, end: int | None, id_col: str, text_col: str) -> DataFrame:
     """Runs of whole documents in ascending id order, about BLOCK_IDS ids each:
     (part, record, start, n_ids, doc_ids, lengths, ids); ``start`` counts from
-    the beginning of the part, parts ascend with the ids."""
+    the beginning of the part, parts ascend with the ids. The last row of a part has
+    the record -1 and, instead of documents, the tokens of the part (``lengths``) and how
+    often they occur (``doc_ids``)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tok, part = tokenizer(tokenizer_path), TaskContext.get().partitionId()
-        record, start, names, pieces = 0, 0, [], []
+        record, start, held, names, pieces = 0, 0, 0, [], []
+        total = np.zeros(0, np.int64)
+
+        def row(number: int, n_ids: int, doc_ids: list, lengths: list, ids: bytes) -> pd.DataFrame:
+            return pd.DataFrame({"part": [part], "record": [number], "start": [start], "n_ids": [n_ids],
+                                 "doc_ids": [doc_ids], "lengths": [lengths], "ids": [ids]})
 
         def flush() -> pd.DataFrame:
-            ids = b"".join(p.tobytes() for p in pieces)
-            lengths = [len(p) for p in pieces]
-            return pd.DataFrame({"part": [part], "record": [record], "start": [start], "n_ids": [sum(lengths)],
-                                 "doc_ids": [names], "lengths": [lengths], "ids": [ids]})
+            nonlocal total
+            ids = np.concatenate(pieces)
+            seen = np.bincount(ids, minlength=len(total))
+            seen[:len(total)] += total
+            total = seen
+            return row(record, held, names, [len(p) for p in pieces], ids.tobytes())
 
         for pdf in batches:
             for name, text in zip(pdf["id"].astype(object).where(pdf["id"].notna(), None), pdf["text"]):
                 names.append(None if name is None else int(name))
                 pieces.append(tok.ids(text, end))
-                if sum_ids(pieces) >= BLOCK_IDS:
+                held += len(pieces[-1])
+                if held >= BLOCK_IDS:
                     yield flush()
-                    start, record = start + sum_ids(pieces), record + 1
-                    names, pieces = [], []
+                    start, record, held, names, pieces = start + held, record + 1, 0, [], []
         if pieces:
             yield flush()
-
-    def sum_ids(pieces: list[np.ndarray]) -> int:
-        return sum(map(len, pieces))
+        used = np.flatnonzero(total)
+        yield row(-1, 0, total[used].tolist(), used.tolist(), b"")
 
     ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
                .repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text")))
@@ -155,20 +163,10 @@ def token_records(docs: DataFrame, tokenizer_path: str, end: int | None, id_col:
                                     "lengths array<long>, ids binary")
 
 
-def frequency_table(records: DataFrame, width: str) -> Table:
-    """The table over all ids: at most one row per vocabulary entry reaches the driver."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, np.int64)
-        for pdf in batches:
-            for blob in pdf["ids"]:
-                seen = np.bincount(np.frombuffer(blob, width), minlength=len(total))
-                seen[:len(total)] += total
-                total = seen
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"token": used, "n": total[used]})
-
-    counted = (records.select("ids").mapInPandas(run, "token long, n long")
-               .groupBy("token").agg(F.sum("n").alias("n")).toPandas())
+def frequency_table(records: DataFrame) -> Table:
+    """The table over all ids, from the counts of the parts: at most one row per vocabulary entry reaches the driver."""
+    cells = records.filter("record < 0").select(F.explode(F.arrays_zip("lengths", "doc_ids")).alias("c"))
+    counted = cells.groupBy(F.col("c.lengths").alias("token")).agg(F.sum("c.doc_ids").alias("n")).toPandas()
     return Table(counted["token"].to_numpy(np.int64), counted["n"].to_numpy(np.int64))
 
 
@@ -182,7 +180,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end: int | Non
     """
     width = tokenizer(tokenizer_path).dtype.str
     records = materialise(token_records(docs, tokenizer_path, end, id_col, text_col), "token-records")
-    table = frequency_table(records, width)
+    table = frequency_table(records)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -192,7 +190,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end: int | Non
                 blocks.append([encode_block(ids[i:i + BLOCK_IDS], table) for i in range(0, len(ids), BLOCK_IDS)])
             yield pdf.assign(blocks=blocks)
 
-    (records.mapInPandas(run, "part int, record int, start long, n_ids long, doc_ids array<long>, "
+    (records.filter("record >= 0").mapInPandas(run, "part int, record int, start long, n_ids long, doc_ids array<long>, "
                               "lengths array<long>, blocks array<binary>")
      .write.parquet(f"{path}/blocks"))
     spark = docs.sparkSession

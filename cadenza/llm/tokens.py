@@ -50,7 +50,7 @@ class WordTokenizer:
     def ids(self, text: str | None, end: int | None = None) -> np.ndarray:
         """Ids of ``text`` (null: none), then ``end`` if given."""
         pieces = self._pieces(text or "")
-        new = {w for w in pieces if w not in self.cache}
+        new = set(pieces).difference(self.cache)
         if new:
             if len(self.cache) + len(new) > CACHE_WORDS or self.chars > CACHE_CHARS:
                 self.older, self.cache, self.chars, new = self.cache, {}, 0, set(pieces)
