@@ -60,6 +60,8 @@ class Table:
         self.freq = freq.astype(np.uint64)
         self.start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
         self.crc = zlib.crc32(self.tokens.tobytes() + self.freq.tobytes())
+        self.index = np.zeros(int(tokens.max()) + 1 if len(tokens) else 1, np.uint32)  # place of a token
+        self.index[tokens] = np.arange(len(tokens), dtype=np.uint32)
         self.slots = np.repeat(np.arange(len(tokens), dtype=np.uint32), freq)
         self.common = int(by_size[0]) if len(tokens) else 0
 
@@ -67,7 +69,7 @@ class Table:
 def encode_block(ids: np.ndarray, table: Table) -> bytes:
     lanes = max(1, min(LANES, len(ids) // 32))
     rows = -(-len(ids) // lanes)
-    index = np.searchsorted(table.tokens, ids)
+    index = table.index[ids]
     grid = np.full(rows * lanes, table.common)
     grid[:len(ids)] = index
     grid = grid.reshape(rows, lanes)
@@ -75,8 +77,9 @@ def encode_block(ids: np.ndarray, table: Table) -> bytes:
     words: list[np.ndarray] = [np.empty(0, np.uint32)] * rows
     states = {}
     shift, word = np.uint64(SCALE), np.uint64(32)
+    freqs, starts = table.freq[grid], table.start[grid]
     for row in range(rows - 1, -1, -1):
-        freq, start = table.freq[grid[row]], table.start[grid[row]]
+        freq, start = freqs[row], starts[row]
         full = x >= freq << np.uint64(63 - SCALE)
         words[row] = x[full].astype(np.uint32)  # the low 32 bits
         x[full] >>= word
@@ -145,9 +148,9 @@ def token_records(docs: DataFrame, tokenizer_path: str, end: int | None, id_col:
             return row(record, held, names, [len(p) for p in pieces], ids.tobytes())
 
         for pdf in batches:
-            for name, text in zip(pdf["id"].astype(object).where(pdf["id"].notna(), None), pdf["text"]):
+            for name, ids in zip(pdf["id"].astype(object).where(pdf["id"].notna(), None), tok.ids_of_all(pdf["text"], end)):
                 names.append(None if name is None else int(name))
-                pieces.append(tok.ids(text, end))
+                pieces.append(ids)
                 held += len(pieces[-1])
                 if held >= BLOCK_IDS:
                     yield flush()
@@ -165,8 +168,19 @@ def token_records(docs: DataFrame, tokenizer_path: str, end: int | None, id_col:
 
 def frequency_table(records: DataFrame) -> Table:
     """The table over all ids, from the counts of the parts: at most one row per vocabulary entry reaches the driver."""
-    cells = records.filter("record < 0").select(F.explode(F.arrays_zip("lengths", "doc_ids")).alias("c"))
-    counted = cells.groupBy(F.col("c.lengths").alias("token")).agg(F.sum("c.doc_ids").alias("n")).toPandas()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(0, np.int64)
+        for pdf in batches:
+            for tokens, times in zip(pdf["lengths"], pdf["doc_ids"]):
+                if len(tokens):
+                    seen = np.bincount(tokens, times, minlength=len(total)).astype(np.int64)
+                    seen[:len(total)] += total
+                    total = seen
+        used = np.flatnonzero(total)
+        yield pd.DataFrame({"token": used, "n": total[used]})
+
+    counted = (records.filter("record < 0").select("lengths", "doc_ids").mapInPandas(run, "token long, n long")
+               .groupBy("token").agg(F.sum("n").alias("n")).toPandas())
     return Table(counted["token"].to_numpy(np.int64), counted["n"].to_numpy(np.int64))
 
 

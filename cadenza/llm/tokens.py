@@ -5,12 +5,16 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import regex
 
 # Of one generation of the cache; there are two.
 CACHE_WORDS, CACHE_CHARS = 1 << 19, 1 << 24
+# New pieces that are encoded as one text.
+RUN = 128
 
 
 class WordTokenizer:
@@ -47,23 +51,51 @@ class WordTokenizer:
                 return self.pattern.findall(text.lower())
         return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
-    def ids(self, text: str | None, end: int | None = None) -> np.ndarray:
-        """Ids of ``text`` (null: none), then ``end`` if given."""
-        pieces = self._pieces(text or "")
-        new = set(pieces).difference(self.cache)
-        if new:
-            if len(self.cache) + len(new) > CACHE_WORDS or self.chars > CACHE_CHARS:
-                self.older, self.cache, self.chars, new = self.cache, {}, 0, set(pieces)
-            self.cache.update((w, self.older[w]) for w in new if w in self.older)
-            listed = [w for w in new if w not in self.older]
-            encoded = self.library.encode_batch_fast(listed, add_special_tokens=False)
-            self.cache.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(listed, encoded))
-            self.chars += sum(map(len, new))
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. Some are encoded at a time, with a special token after each to tell them apart."""
+        mark = next((t for t in self.special if self.library.token_to_id(t) is not None), None)
+        if mark and len(pieces) > 1:
+            runs = [mark.join(pieces[i:i + RUN]) + mark for i in range(0, len(pieces), RUN)]
+            encoded = self.library.encode_batch_fast(runs, add_special_tokens=False)
+            flat = np.fromiter(chain.from_iterable(e.ids for e in encoded), self.dtype)
+            ends = np.flatnonzero(flat == self.library.token_to_id(mark))
+            if len(ends) == len(pieces) == sum(r.count(mark) for r in runs):  # no piece holds the mark itself
+                raw, width = flat.tobytes(), self.dtype.itemsize
+                stops = (ends * width).tolist()
+                return [raw[i:j] for i, j in zip([0, *(e + width for e in stops)], stops)]
+        encoded = self.library.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
+
+    def _know(self, pieces: set[str]) -> None:
+        """Have all of ``pieces`` in the cache."""
+        new = pieces.difference(self.cache)
+        if not new:
+            return
+        if len(self.cache) + len(new) > CACHE_WORDS or self.chars > CACHE_CHARS:
+            self.older, self.cache, self.chars, new = self.cache, {}, 0, pieces
+        self.cache.update((w, self.older[w]) for w in new if w in self.older)
+        listed = [w for w in new if w not in self.older]
+        self.cache.update(zip(listed, self._encode(listed)))
+        self.chars += sum(map(len, new))
+
+    def _put_together(self, pieces: list[str], end: int | None) -> np.ndarray:
         parts = list(map(self.cache.__getitem__, pieces))
         if end is not None:
             parts.append(np.array([end], self.dtype).tobytes())
         return np.frombuffer(b"".join(parts), self.dtype)
 
+    def ids(self, text: str | None, end: int | None = None) -> np.ndarray:
+        """Ids of ``text`` (null: none), then ``end`` if given."""
+        pieces = self._pieces(text or "")
+        self._know(set(pieces))
+        return self._put_together(pieces, end)
+
+    def ids_of_all(self, texts: Iterable[str | None], end: int | None = None) -> list[np.ndarray]:
+        """``ids`` of each text; pieces new in any of them are encoded together."""
+        cut = [self._pieces(t or "") for t in texts]
+        self._know(set(chain.from_iterable(cut)))
+        return [self._put_together(pieces, end) for pieces in cut]
+
 
 def latin_pattern(spec: dict) -> tuple[re.Pattern | None, list[str]]:
     """The pattern that cuts pieces of Latin-1 texts, if nothing but case, composition
