@@ -97,3 +97,13 @@ def test_sequences_are_bounded_ordered_and_whole(spark):
     got = sequences.playlist_sequences(links, block=10).orderBy("pid", "chunk").collect()
     assert [(r.pid, r.chunk, len(r.tracks)) for r in got] == [(1, 0, 3), (2, 0, 10), (2, 1, 10), (2, 2, 5)]
     assert sum((r.tracks for r in got if r.pid == 2), []) == [t for p, t, _ in rows if p == 2]
+
+
+def test_evaluation_sets_go_on_in_further_parts(spark):
+    from cadenza.operators import splits
+
+    rows = [(1, f"t{i}", i, "seed" if i < 3 else "truth") for i in range(10)] + [(2, "a", 0, "seed"), (2, "b", 1, "truth")]
+    roles = spark.createDataFrame(rows, "pid bigint, track_uri string, pos bigint, role string")
+    got = {(r.pid, r.part): (r.seed_tracks, r.gt_tracks) for r in splits.eval_sets(roles, block=4).collect()}
+    assert got == {(1, 0): (["t0", "t1", "t2"], ["t3"]), (1, 1): ([], ["t4", "t5", "t6", "t7"]), (1, 2): ([], ["t8", "t9"]),
+                   (2, 0): (["a"], ["b"])}
