@@ -213,3 +213,33 @@ def test_vectors_for_every_track_by_both_routes(spark, links):
         rows = vectors.collect()
         assert len(rows) <= n and {len(r.vector) for r in rows} == {dim}
     assert skipgram.count() == n
+
+
+@pytest.mark.parametrize("bound", [2, 1000])
+def test_labels_of_long_and_short_playlists_without_shuffling_candidates(spark, links, bound):
+    near = sequences.context_similarity(links, 6, popularity=True).cache()
+    popularity = features.track_popularity(links)
+    popular = features.popular_tracks(popularity, 8)
+    assert {(r.neighbour, r.popularity) for r in near.collect()} <= {tuple(r) for r in popularity.collect()}
+    lists = candidates.neighbour_lists(near, None, 6, millionths=True).cache()
+    sizes = {"per_seed": 6, "max_cands": 12}
+    want = candidates.candidate_features(links, near.drop("popularity"), popularity, popular, labels=False, **sizes)
+    for seeded in (True, False):
+        got = candidates.candidate_features(links, lists, popularity, popular, seeds_in_truth=seeded, bound=bound, **sizes)
+        seeds = candidates.seed_tracks(links).select("pid", "track_uri")
+        truth = links if seeded else links.join(seeds, ["pid", "track_uri"], "left_anti")
+        key = ["pid", "track_uri", "cand_rank"]
+        assert got.orderBy(*key).collect() == candidates.flag_member(want, truth, "label").select(*got.columns).orderBy(*key).collect()
+    got = candidates.candidate_features(links, lists, popularity, popular, **sizes)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan and "_in" not in plan  # no join of candidates with the truth, by pair
+
+
+def test_candidates_of_many_and_few_seeds_agree(spark, links):
+    near = sequences.context_similarity(links, 6, popularity=True)
+    lists = candidates.neighbour_lists(near, None, 6).cache()
+    seeds = links.select("pid", "track_uri")
+    want = candidates.candidates(seeds, lists, 9, few_seeds=False).orderBy("pid", "cand_rank").collect()
+    for few in (1, 3, 1000):
+        got = candidates.candidates_any(seeds, lists, 9, few).select("pid", "track_uri", "t2v_score", "popularity", "cand_rank")
+        assert got.orderBy("pid", "cand_rank").collect() == want
