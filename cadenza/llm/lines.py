@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cadenza.workspace import materialise
 
-LINE_END = "(?<=\\n)|(?<=[.!?|] )"
+LINE_END = "(?<=[\\n ])(?<=\\n|[.!?|] )"  # the first condition fails fast at most characters
 WINDOW = 2
 MIN_CHARS = 40
 _PRIME, _BASE = 2147483647, 1000003
@@ -56,9 +56,10 @@ def chunks(text: Column) -> Column:
             return F.transform(b, lambda at, k: F.array_join(
                 F.slice(x, at + 1, F.coalesce(F.get(b, k + 1), F.size(x)) - at), ""))
 
-        return _let(_let(hashes, rolled), lambda r: _let(starts(r), sliced))
+        whole = _let(_let(hashes, rolled), lambda r: _let(starts(r), sliced))
+        return F.when(F.size(x) == 0, F.array().cast("array<string>")).otherwise(whole)
 
-    return F.when(F.size(lines) == 0, F.array().cast("array<string>")).otherwise(_let(lines, cut))
+    return _let(lines, cut)  # bound once: an expression that names the split twice splits twice
 
 
 def _is_multi_line(chunk: Column) -> Column:
@@ -79,9 +80,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whole = F.col("row").getField(text_col)
     order = [F.col("_i").isNull().alias("no_id"), F.col("_i").alias("i"), F.col("_t").alias("t"), F.col("k")]
 
-    cut = keyed.select("_i", "_t", F.posexplode(chunks(whole)).alias("k", "chunk"))
-    seen = materialise(cut.filter(_is_multi_line(F.col("chunk")))
-                       .select("_i", "_t", "k", F.xxhash64("chunk").alias("h"), F.length("chunk").alias("n")), "chunks")
+    # Cutting is most of the work: here for every text, later only for texts that hold or lose a repeated chunk.
+    def hashed(chunk: Column, k: Column) -> Column:
+        return F.when(_is_multi_line(chunk), F.struct(k.alias("k"), F.xxhash64(chunk).alias("h"), F.length(chunk).alias("n")))
+
+    cut = materialise(keyed.select("_i", "_t", F.explode(F.array(chunks(whole))).alias("c"))
+                      .select("_i", "_t", F.size("c").alias("n_chunks"),
+                              F.filter(F.transform("c", hashed), lambda x: x.isNotNull()).alias("c")), "chunks")
+    seen = cut.select("_i", "_t", F.explode("c").alias("c")).select("_i", "_t", "c.*")
     # What is aggregated by chunk is stored before it is joined back: Spark splits a
     # chunk that very many documents share only between two plain shuffles.
     often = materialise(seen.groupBy("h", "n").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h", "n"),
@@ -106,7 +112,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     later = (repeated.join(first.select("h", "n", "i", "t", F.col("k").alias("fk")), ["h", "n"])
              .filter(~(F.col("_i").eqNullSafe(F.col("i")) & (F.col("_t") == F.col("t")) & (F.col("k") == F.col("fk"))))
              .select("_i", "_t", "k", "h", "n").distinct())
-    marks = of_document(later.join(originals, ["h", "n"]), F.struct("k", "original"))
+    losing = of_document(later.join(originals, ["h", "n"]), F.struct("k", "original")).withColumnsRenamed({"_i": "_li", "_t": "_lt"})
+    marks = (cut.groupBy("_i", "_t").agg(F.max("n_chunks").alias("n_chunks"))
+             .join(losing, F.col("_i").eqNullSafe(F.col("_li")) & (F.col("_t") == F.col("_lt")), "left").drop("_li", "_lt"))
 
     def cleaned(c: Column) -> Column:
         # A mark counts only if the chunk's bytes equal the original's.
@@ -115,10 +123,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             F.array_join(F.filter(c, lambda x, i: ~F.array_contains(gone, i)), ""))
         return F.struct(kept.alias("text"), F.size(c).alias("n_chunks"), F.size(gone).alias("n_removed"))
 
-    none = F.array().cast("array<struct<k:int,original:string>>")
-    marked = with_marks(marks, "left").withColumn("marks", F.coalesce("marks", none))
+    marked = with_marks(marks, "left")
+    unchanged = F.struct(F.coalesce(whole, F.lit("")).alias("text"), F.col("n_chunks"), F.lit(0).alias("n_removed"))
     # Generated, not projected: a later filter on the outcome does not compute it again.
-    out = marked.select("row", F.explode(F.array(_let(chunks(whole), cleaned))).alias("_r"))
+    out = marked.select("row", F.explode(F.array(
+        F.when(F.col("marks").isNull(), unchanged).otherwise(_let(chunks(whole), cleaned)))).alias("_r"))
     text = F.when(whole.isNotNull(), F.col("_r.text"))
     return out.select(*[(text if c == text_col else F.col("row").getField(c)).alias(c) for c in columns],
                       F.col("_r.n_chunks").alias("n_chunks"), F.col("_r.n_removed").alias("n_removed"))

@@ -218,3 +218,16 @@ def test_language_rejection(spark):
     got = {r.doc_id: (r.lang_pred, r.rejected) for r in langid.predict(new, model).collect()}
     assert got[0] == ("en", False) and got[1] == ("fr", False) and got[2][1]
     assert got[3] == got[4] == ("und", True)
+
+
+def test_texts_without_repeated_chunks_are_not_cut_again(spark):
+    shared = "The shared line is long enough to be one. It goes on in a second sentence.\n"
+    texts = [shared * 2 + "Some words of the first text. And others.\n", "Alone with its own words here. Nothing repeats.\n", shared * 2, "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = lines.dedup_lines(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == plan.count("CASE WHEN isnull(marks") == 1
+    rows = {r.doc_id: r for r in out.collect()}
+    cut = {r.doc_id: r.c for r in docs.select("doc_id", lines.chunks(docs.text).alias("c")).collect()}
+    assert all(rows[i].n_chunks == len(cut[i]) for i in rows)
+    assert [rows[i].text for i in (1, 3, 4)] == [texts[1], "", None]
