@@ -1,7 +1,8 @@
 """Exact distinct counts that can be added up: bitmaps of dense ids per group and day.
 
-A bitmap holds 32,768 ids, so a group's ids are several rows. Days are merged by
-OR: counts after a new day need its bitmaps and the old ones, no old row.
+A bitmap covers 32,768 ids, so a group's ids are several rows, and keeps only its words of 64 ids
+that are not empty: a day with one id of a group costs one word. Days are merged by OR: counts after
+a new day need its bitmaps and the old ones, no old row.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from cadenza.operators.indexing import index_alpha
 from cadenza.operators.skew import salted_join
 
+WORD, BUCKET_WORDS = 64, 512  # ids of a word, words of a bitmap
+
 
 def daily_bitmaps(rows: DataFrame, ids: DataFrame, group: list[str], day: str, item: str) -> DataFrame:
     """(group, day, bucket, bitmap) of ``item`` by its number in ``ids`` (item, idx).
@@ -20,15 +23,16 @@ def daily_bitmaps(rows: DataFrame, ids: DataFrame, group: list[str], day: str, i
     keep their numbers from day to day; new items get new ones.
     """
     numbered = salted_join(rows.select(*group, day, item), ids, item, [*group, day])
-    number = F.col("idx") + 1  # buckets begin at 1
-    return numbered.groupBy(*group, day, F.bitmap_bucket_number(number).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bitmap"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("idx", F.lit(WORD)).cast("int"))
+    words = numbered.groupBy(*group, day, F.floor(F.col("idx") / WORD).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    bucket = F.floor(F.col("word") / BUCKET_WORDS) + 1  # buckets begin at 1
+    return words.groupBy(*group, day, bucket.alias("bucket")).agg(F.collect_list(F.struct("word", "bits")).alias("bitmap"))
 
 
 def distinct_counts(bitmaps: DataFrame, group: list[str], name: str = "n_distinct") -> DataFrame:
     """Distinct items of each group over all days given."""
-    merged = bitmaps.groupBy(*group, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
-    return merged.groupBy(*group).agg(F.sum(F.bitmap_count("bitmap")).alias(name))
+    words = bitmaps.select(*group, F.explode("bitmap").alias("w")).groupBy(*group, "w.word").agg(F.bit_or("w.bits").alias("bits"))
+    return words.groupBy(*group).agg(F.sum(F.bit_count("bits").cast("bigint")).alias(name))
 
 
 def append_ids(ids: DataFrame | None, items: DataFrame, item: str) -> DataFrame:

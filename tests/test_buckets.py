@@ -112,3 +112,10 @@ def test_ids_beyond_one_bitmap(spark):
     frame = spark.range(70_000).select(F.lit("g").alias("g"), F.lit(1).alias("day"), F.col("id").cast("string").alias("item"))
     bits = bitmaps.daily_bitmaps(frame, bitmaps.append_ids(None, frame, "item"), ["g"], "day", "item")
     assert bits.count() == 3 and bitmaps.distinct_counts(bits, ["g"]).first().n_distinct == 70_000
+
+
+def test_a_day_of_few_ids_is_a_small_bitmap(spark):
+    frame = spark.range(200).select(F.concat(F.lit("g"), F.col("id") % 20).alias("g"), F.col("id").alias("day"), F.col("id").cast("string").alias("item"))
+    bits = bitmaps.daily_bitmaps(frame, bitmaps.append_ids(None, frame, "item"), ["g"], "day", "item")
+    assert bits.agg(F.max(F.length(F.to_json("bitmap")))).first()[0] < 100
+    assert {r.n_distinct for r in bitmaps.distinct_counts(bits, ["g"]).collect()} == {10}
