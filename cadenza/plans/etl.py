@@ -45,7 +45,7 @@ def playlists_with_tracks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_slices(spark: SparkSession, sf: str) -> DataFrame:
-    raw = slices.read_first_slices(spark, S.write_slices(spark, sf), 3, SLICE, "*.txt")
+    raw = slices.read_first_slices(spark, S.write_slices(spark, sf), 3, SLICE, "*.txt.gz")
     tracks = flatten.explode_tracks(flatten.explode_playlists(raw))
     return tracks.select("pid", F.col("track.track_uri").alias("track_uri"))
 
@@ -61,7 +61,7 @@ def playlist_list_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_tracks(spark: SparkSession, sf: str) -> DataFrame:
-    raw = S.raw_playlists(spark, sf).select(F.array("playlist").alias("playlists"))
+    raw = S.raw_playlists(spark, sf).select(F.array(S.full_playlist(F.col("playlist"))).alias("playlists"))
     return flatten.silver_tracks(raw).withColumn("modified_date", stamp("modified_date"))
 
 

@@ -118,3 +118,29 @@ def test_ingest_stream_takes_each_file_once(spark, raw_dir, folder):
         shutil.copy(raw_dir / name, inbox / name)
     assert run() == 4
     assert run() == 4
+
+
+def test_slice_files_are_compressed_and_tracks_shuffled_by_key(spark, monkeypatch, folder):
+    import os
+
+    from cadenza.plans import standins
+    monkeypatch.setattr(standins, "run_dir", lambda spark, label: f"{folder}/{label}")
+    tables = {
+        "lineitem": ([(1, 1, 5, 7, 1.0), (1, 2, 6, 7, 2.0), (2, 1, 5, 8, 1.0)],
+                     "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double"),
+        "part": ([(5, "five", "B", 1.5), (6, "six", None, 2.0)], "p_partkey long, p_name string, p_brand string, p_retailprice double"),
+        "supplier": ([(7, "seven"), (8, "eight")], "s_suppkey long, s_name string"),
+        "orders": ([(n, "1-URGENT", "1995-01-01", 10000.0, 3) for n in (1, 2, 3)],
+                   "o_orderkey long, o_orderpriority string, o_orderdate string, o_totalprice double, o_custkey long")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    raw = standins.raw_playlists(spark, folder)
+    assert raw.schema["playlist"].dataType["tracks"].dataType.elementType.names == [
+        "pos", "l_partkey", "l_suppkey", "p_name", "p_brand", "p_retailprice", "s_name"]
+    path = standins.write_slices(spark, folder)
+    names = [f for _, _, files in os.walk(path) for f in files if f.startswith("part-")]
+    assert names and all(n.endswith(".txt.gz") for n in names)
+    lists = {p.pid: p.tracks for r in spark.read.json(path).collect() for p in r.playlists}
+    assert [(t.pos, t.track_uri, t.artist_uri, t.album_uri, t.duration_ms) for t in lists[1]] == [
+        (0, "track:5", "artist:7", "album:B", 150), (1, "track:6", "artist:7", None, 200)]
+    assert len(lists[2]) == 1 and lists[3] is None
