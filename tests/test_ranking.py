@@ -243,3 +243,20 @@ def test_candidates_of_many_and_few_seeds_agree(spark, links):
     for few in (1, 3, 1000):
         got = candidates.candidates_any(seeds, lists, 9, few).select("pid", "track_uri", "t2v_score", "popularity", "cand_rank")
         assert got.orderBy("pid", "cand_rank").collect() == want
+
+
+def test_groups_of_blocks_send_only_what_reaches_the_kth_score(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(12, 6))[np.arange(480) % 12] * 5 + rng.normal(size=(480, 6)) * 0.05
+    ids, sent = [f"t{i:03d}" for i in range(480)], {}
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, v)], "id string, v array<double>")
+    unit = df.withColumn("v", F.transform("v", lambda x: x / F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, y: a + y * y))))
+    keep = similarity.first_per_key
+    monkeypatch.setattr(similarity, "first_per_key", lambda rows, *a, **o: (sent.update(rows=rows), keep(rows, *a, **o))[1])
+    found = similarity._nearest_distinct(unit, 4, 16, 40).collect()
+    got = defaultdict(set)
+    for r in found:
+        got[r.id].add(r.neighbour)
+    assert dict(got) == {i: set(n) for i, n in brute(ids, v, 4).items()}
+    # Every query held k rows for each of the 30 blocks it met; now its own group's and better ones.
+    assert 480 * 4 <= sent["rows"].count() < 2 * 480 * 4
