@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.tokens import tokenizer
+from cadenza.llm.tokens import joined, tokenizer
 
 CAPACITY = 2048
 WINDOW = 1 << 20
@@ -91,9 +91,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end: int | None = None, capacity:
                       for i, s, n, seq, at in assign(lengths, capacity)]
             return placed, len(sequence_sizes(int(lengths.sum()), capacity))
 
-        for pdf in batches:
-            for name, text in zip(pdf[id_col].astype(object).where(pdf[id_col].notna(), None), pdf[text_col]):
-                ids = tok.ids(text, end)
+        for pdf in joined(batches, text_col):
+            names = pdf[id_col].astype(object).where(pdf[id_col].notna(), None)
+            for name, ids in zip(names, tok.ids_of_all(pdf[text_col], end)):
                 whole = len(ids) // capacity * capacity
                 full += [(name, s, ids[s:s + capacity], len(ids), i, 0)
                          for i, s in enumerate(range(0, whole, capacity), len(full))]

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.tokens import tokenizer
+from cadenza.llm.tokens import joined, tokenizer
 from cadenza.workspace import materialise, run_dir
 
 SCALE = 18
@@ -147,7 +147,7 @@ def token_records(docs: DataFrame, tokenizer_path: str, end: int | None, id_col:
             total = seen
             return row(record, held, names, [len(p) for p in pieces], ids.tobytes())
 
-        for pdf in batches:
+        for pdf in joined(batches, "text"):
             for name, ids in zip(pdf["id"].astype(object).where(pdf["id"].notna(), None), tok.ids_of_all(pdf["text"], end)):
                 names.append(None if name is None else int(name))
                 pieces.append(ids)

@@ -29,6 +29,20 @@ def test_encoders_equal_the_library(text):
     assert OWN.decode(OWN.encode(text)) == LIBRARY.decode(library_ids(text), skip_special_tokens=False)
 
 
+def test_a_repeated_word_is_cut_once(monkeypatch):
+    texts = ["Sigma Σίγμα, it's " * 300, None, "", "x\xa0y ½ a\x85b 'sta'rem <|endoftext|>z\x0bq été-ÉTÉ\xad " * 300]
+    tok, cut = WordTokenizer(tokenizer_file()), []
+    monkeypatch.setattr(tok, "_pieces", lambda word, own=tok._pieces: (cut.append(len(word)), own(word))[1])
+    assert [x.tolist() for x in tok.ids_of_all(texts, 1)] == [[*library_ids(t or ""), 1] for t in texts]
+    assert sum(cut) < 200
+
+
+@given(st.lists(st.text("abcXYZ 'st-.,!09\n\t", max_size=40), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_texts_of_a_batch_encode_alone(texts):
+    assert [x.tolist() for x in WORDS.ids_of_all(texts)] == [library_ids(t) for t in texts]
+
+
 def test_special_tokens_and_long_words():
     text = "a<|endoftext|>b <|startoftext|> " + "abcdefghij" * 500 + " " + "ß" * 3000
     assert OWN.encode(text).tolist() == library_ids(text)
