@@ -18,13 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
     star = materialise(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges")
-    before = None
-    while True:
-        state = star.agg(F.count(F.lit(1)).alias("n"),
-                         F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (state.n, state.h) == before or not state.n:
-            break
-        before = (state.n, state.h)
+    while not _is_stars(star):
         star = materialise(_small_star(_large_star(star)), "edges")
     # Converged: every edge points from a member to its component's smallest id.
     # Stored, so that a join with it is one of two plain shuffles, which Spark can split.
@@ -32,6 +26,14 @@ def components(edges: DataFrame) -> DataFrame:
                        .unionByName(star.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct(), "roots")
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every edge (u, v) is the only one of its u and no v is a u: nothing is left to do, since v < u."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return (ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+            .filter("up > 1 or up > 0 and down > 0").isEmpty())
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

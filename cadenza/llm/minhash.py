@@ -10,15 +10,16 @@ pair under the distance threshold meets in at least one bucket.
 
 Buckets are never expanded into all pairs. First each member is held against
 its bucket's smallest member; confirmed links join most of a bucket into one
-component. Only members of one bucket that are still in different components
-are then paired, if their signatures are near enough. Each link is confirmed
+component. Members of one bucket that are still in different components are
+then held against each other by size and signature, without their texts; those
+with a near partner are paired, in the first bucket that they share. Each link is confirmed
 on the full sets, so missing a link takes a signature that misjudges a pair.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,8 +32,11 @@ from cadenza.workspace import materialise
 
 SYMBOLS, CHUNKS = 48, 11
 BLOCK = 512  # documents on one side of a block pair
+SIGNED_BLOCK = 4096  # signatures on one side of a block pair, without texts
 _LANES = SYMBOLS // 4  # 16-bit symbols, four to a long
 _SEEDS = np.random.default_rng(20240501).integers(1, 2**63, SYMBOLS).astype(np.uint64)
+_CHUNK_STARTS = np.array([part[0] for part in np.array_split(np.arange(SYMBOLS), CHUNKS)])
+_CHUNK_OF = np.repeat(np.arange(CHUNKS), np.diff([*_CHUNK_STARTS, SYMBOLS]))
 _SLICE = 8192  # shingles hashed at a time: bounded memory for any text
 
 
@@ -69,7 +73,7 @@ def _symbol(i: int) -> Column:
 
 
 def _bucket_keys() -> Column:
-    """One key for every range and omitted position in it."""
+    """One key for every range and omitted position in it: as many as symbols, in their order."""
     keys = []
     for chunk, members in enumerate(np.array_split(np.arange(SYMBOLS), CHUNKS)):
         for omitted in members:
@@ -154,7 +158,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 *_LANE_COLS),
         "classes")
 
-    filed = classes.select("cls", F.explode(_bucket_keys()).alias("key"))
+    filed = classes.select("cls", F.posexplode(_bucket_keys()).alias("slot", "key"))
     # What was aggregated is stored before it is joined back: Spark splits a hot
     # bucket only where both sides of the join are plain shuffles.
     shared = materialise(filed.groupBy("key").agg(F.min("cls").alias("leader"), F.max("cls").alias("last"))
@@ -189,60 +193,113 @@ def _missed(buckets: DataFrame, roots: DataFrame, classes: DataFrame, texts: Dat
 
     A member outside the component of its bucket's leader is a straggler.
     Stragglers, in blocks, are held against each other and against the blocks of
-    the other members; all have been held against the leader.
+    the other members; all have been held against the leader. Signatures tell first
+    which of them have a near partner at all: only these come with their texts.
     """
     of_leader = roots.toDF("leader", "leader_root")
     tagged = (buckets.join(roots.toDF("cls", "root"), "cls", "left").join(of_leader, "leader", "left")
               .filter("cls <> leader")
-              .select("key", "cls", F.coalesce("root", "cls").alias("root"),
+              .select("key", "slot", "cls", F.coalesce("root", "cls").alias("root"),
                       (F.coalesce("root", "cls") != F.coalesce("leader_root", "leader")).alias("strays")))
+    # A crowd that shares a passage meets in many buckets and is far apart in all of them.
+    signed = _dealt(tagged, SIGNED_BLOCK).join(classes.select("cls", "size", *_LANE_COLS), "cls")
+    close = materialise(_by_task(signed, _close_members(percent), "key long, cls long").distinct(), "close")
+    dealt = _dealt(tagged.join(close, ["key", "cls"], "left_semi"), BLOCK)
+    full = dealt.join(classes.select("cls", "size", *_LANE_COLS), "cls").join(texts, "cls")
+    return _by_task(full, lambda rows: _block_links(rows, size, percent), "a long, b long").distinct()
+
+
+_TASK = ["key", "kind", "i", "j"]
+
+
+def _dealt(tagged: DataFrame, size: int) -> DataFrame:
+    """(cls, root, key, slot, kind, i, j, side): members of buckets, once for each block pair they take part in.
+
+    A pair of kind "s" holds blocks of stragglers, or one of them (side 2) with itself and
+    with the first block of other members; one of kind "m" holds a block of stragglers (side 0) and one of
+    the later blocks of others (side 1).
+    """
     counts = materialise(
         tagged.groupBy("key").agg(F.count_if("strays").alias("n_s"), F.count_if(~F.col("strays")).alias("n_m"))
         .filter("n_s > 0 and n_s + n_m > 1")
-        .select("key", F.ceil(F.col("n_s") / BLOCK).cast("int").alias("b_s"),
-                F.ceil(F.col("n_m") / BLOCK).cast("int").alias("b_m")), "crowded")
+        .select("key", F.ceil(F.col("n_s") / size).cast("int").alias("b_s"),
+                F.greatest(F.ceil(F.col("n_m") / size).cast("int"), F.lit(1)).alias("b_m")), "crowded")
 
-    def every(n: str, to: Column) -> Column:
-        return F.when(F.col(n) > 0, F.transform(F.sequence(F.lit(0), F.col(n) - 1), lambda j: to(j)))
+    def task(kind: Column, i: Column, j: Column, side: Column) -> Column:
+        return F.struct(kind.alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
 
-    def task(kind: str, i: Column, j: Column, side: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
-
-    block = F.pmod(F.xxhash64("cls"), F.when(F.col("strays"), F.col("b_s")).otherwise(F.col("b_m"))).cast("int")
     own = F.col("own")
-    among = every("b_s", lambda j: task("s", F.least(own, j), F.greatest(own, j),
-                                        F.when(j == own, 2).when(own < j, 0).otherwise(1)))
-    against = every("b_m", lambda j: task("m", own, j, F.lit(0)))
-    offered = every("b_s", lambda i: task("m", i, own, F.lit(1)))
-    none = F.array().cast("array<struct<kind:string,i:int,j:int,side:int>>")
-    tasks = F.when(F.col("strays"), F.concat(among, F.coalesce(against, none))).otherwise(offered)
-    dealt = (tagged.join(counts, "key").withColumn("own", block)
-             .select("cls", "root", "key", F.explode(tasks).alias("t")).select("cls", "root", "key", "t.*"))
-    full = (dealt.join(classes.select("cls", "size", *_LANE_COLS), "cls").join(texts, "cls"))
-    group = ["key", "kind", "i", "j"]
-    grouped = full.repartition(*group).sortWithinPartitions(*group)
-
+    block = F.pmod(F.xxhash64("cls"), F.when(F.col("strays"), F.col("b_s")).otherwise(F.col("b_m"))).cast("int")
+    among = F.transform(F.sequence(F.lit(0), F.col("b_s") - 1), lambda j: task(
+        F.lit("s"), F.least(own, j), F.greatest(own, j), F.when(j == own, 2).when(own < j, 0).otherwise(1)))
+    against = F.transform(F.slice(F.sequence(F.lit(0), F.col("b_m") - 1), F.lit(2), F.col("b_m")),
+                          lambda j: task(F.lit("m"), own, j, F.lit(0)))
+    offered = F.transform(F.sequence(F.lit(0), F.col("b_s") - 1), lambda i: task(
+        F.when(own == 0, "s").otherwise("m"), i, F.when(own == 0, i).otherwise(own), F.lit(1)))
+    tasks = F.when(F.col("strays"), F.concat(among, against)).otherwise(offered)
+    return (tagged.join(counts, "key").withColumn("own", block)
+            .select("cls", "root", "key", "slot", F.explode(tasks).alias("t")).select("cls", "root", "key", "slot", "t.*"))
+
+
+def _by_task(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``work`` on the rows of each block pair."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for pdf in batches:
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            last = (pdf[group] == pdf[group].iloc[-1]).all(axis=1) if len(pdf) else None
+            last = (pdf[_TASK] == pdf[_TASK].iloc[-1]).all(axis=1) if len(pdf) else None
             if last is None or last.all():
                 held = pdf
                 continue
             held = pdf[last]
-            for _, task_rows in pdf[~last].groupby(group, sort=False):
-                yield _block_links(task_rows, size, percent)
+            for _, task_rows in pdf[~last].groupby(_TASK, sort=False):
+                yield work(task_rows)
         if held is not None and len(held):
-            yield _block_links(held, size, percent)
-
-    return grouped.mapInPandas(run, "a long, b long").distinct()
+            yield work(held)
+
+    return rows.repartition(*_TASK).sortWithinPartitions(*_TASK).mapInPandas(run, schema)
+
+
+def _near_here(symbols: np.ndarray, own: np.ndarray, slot: int) -> np.ndarray:
+    """Which signatures are within the distance of ``own`` and first meet it under this range and omitted
+    position (``slot``): a pair shares many buckets, and one of them is enough."""
+    off = symbols != own
+    at = np.flatnonzero(off.sum(axis=1) < 2 * CHUNKS)
+    off = off[at]
+    wrong = np.add.reduceat(off, _CHUNK_STARTS, axis=1, dtype=np.int64)
+    chunk = (wrong <= 1).argmax(axis=1)
+    omitted = (off & (_CHUNK_OF == chunk[:, None])).argmax(axis=1)
+    first = np.where(wrong[np.arange(len(at)), chunk] == 0, _CHUNK_STARTS[chunk], omitted)
+    return at[first == slot]
+
+
+def _close_members(percent: int):
+    """Members of a block pair that have a partner of another component on the other side, near by size and signature."""
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("size", ignore_index=True)
+        side, sizes, roots, slots = (pdf[c].to_numpy() for c in ("side", "size", "root", "slot"))
+        symbols = np.ascontiguousarray(pdf[_LANE_COLS].to_numpy(np.int64)).view(np.uint16)
+        right = np.flatnonzero(side > 0)
+        r_sizes, r_roots, r_symbols = sizes[right], roots[right], symbols[right]
+        close = np.zeros(len(pdf), bool)
+        left = np.flatnonzero(side != 1)
+        # Sizes ascend, so partners of a size that allows the similarity are one run.
+        starts = np.searchsorted(r_sizes * 100, sizes[left] * percent)
+        ends = np.searchsorted(r_sizes * percent, sizes[left] * 100, side="right")
+        for x, lo, hi in zip(left.tolist(), starts.tolist(), ends.tolist()):
+            near = lo + np.flatnonzero(r_roots[lo:hi] != roots[x])
+            near = near[_near_here(r_symbols[near], symbols[x], slots[x])]
+            if len(near):
+                close[x] = True
+                close[right[near]] = True
+        return pd.DataFrame({"key": pdf["key"], "cls": pdf["cls"]})[close]
+    return work
 
 
 def _block_links(pdf: pd.DataFrame, size: int, percent: int) -> pd.DataFrame:
     """Links between the two sides of a block pair, one for each pair of
     components that they join."""
-    side, names, sizes = (pdf[c].to_numpy() for c in ("side", "cls", "size"))
+    side, names, sizes, slots = (pdf[c].to_numpy() for c in ("side", "cls", "size", "slot"))
     roots, texts = pdf["root"].to_numpy().copy(), pdf["text"].to_numpy()
     symbols = np.ascontiguousarray(pdf[_LANE_COLS].to_numpy(np.int64)).view(np.uint16)
     sets: dict[int, np.ndarray] = {}
@@ -255,10 +312,10 @@ def _block_links(pdf: pd.DataFrame, size: int, percent: int) -> pd.DataFrame:
     found = []
     right = np.flatnonzero(side > 0)
     for x in np.flatnonzero(side != 1):
-        near = right[right > x] if side[x] == 2 else right
+        near = right[(right > x) | (side[right] == 1)] if side[x] == 2 else right
         near = near[(roots[near] != roots[x])
                     & (np.minimum(sizes[near], sizes[x]) * 100 >= np.maximum(sizes[near], sizes[x]) * percent)]
-        near = near[(symbols[near] != symbols[x]).sum(axis=1) < 2 * CHUNKS]
+        near = near[_near_here(symbols[near], symbols[x], slots[x])]
         for y in near:
             if roots[y] == roots[x]:
                 continue

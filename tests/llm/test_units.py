@@ -1,6 +1,6 @@
 """Operators on their own: properties, ties, damage, skew."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 from cadenza.llm import bpe, components, langid, licenses, lines, minhash, packing, quality, rans, topk
 from cadenza.llm.queries import tokenizer_file
 from cadenza.llm.tokens import WordTokenizer
+from cadenza.workspace import materialise
 
 LIBRARY = Tokenizer.from_file(tokenizer_file())
 OWN = bpe.BytePairs(tokenizer_file())
@@ -245,3 +246,46 @@ def test_texts_without_repeated_chunks_are_not_cut_again(spark):
     cut = {r.doc_id: r.c for r in docs.select("doc_id", lines.chunks(docs.text).alias("c")).collect()}
     assert all(rows[i].n_chunks == len(cut[i]) for i in rows)
     assert [rows[i].text for i in (1, 3, 4)] == [texts[1], "", None]
+
+
+def test_a_crowd_is_dealt_out_once(spark):
+    tagged = spark.range(1300).selectExpr("7L key", "0 slot", "id cls", "id root", "id % 5 > 0 strays")
+    assert minhash._dealt(tagged, minhash.SIGNED_BLOCK).count() == 1300
+
+
+def test_block_pairs_meet_each_pair_once(spark):
+    tagged = spark.range(60).selectExpr("id % 2 key", "0 slot", "id cls", "if(id % 3 > 0, id, 0L) root", "id % 3 > 0 strays")
+    met = Counter()
+    for task in minhash._dealt(tagged, 4).toPandas().groupby(["key", "kind", "i", "j"]):
+        rows = list(zip(task[1]["side"], task[1]["cls"], task[1]["root"]))
+        for x, (side, a, root) in enumerate(rows):
+            for y, (other, b, other_root) in enumerate(rows):
+                if side != 1 and other > 0 and root != other_root and (side != 2 or y > x or other == 1):
+                    met[min(a, b), max(a, b)] += 1
+    wanted = {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 2 == b % 2 and a % 3 + b % 3 > 0}
+    assert set(met) == wanted and set(met.values()) == {1}
+
+
+@pytest.mark.parametrize("off", [0, 1, 5, 13, 21, 22, 40])
+def test_near_signatures_meet_first_under_one_key(off):
+    rng = np.random.default_rng(off)
+    parts = np.array_split(np.arange(minhash.SYMBOLS), minhash.CHUNKS)
+    for _ in range(40):
+        own = rng.integers(0, 1 << 16, minhash.SYMBOLS).astype(np.uint16)
+        other = own.copy()
+        other[rng.permutation(minhash.SYMBOLS)[:off]] ^= 1
+        here = [s for s in range(minhash.SYMBOLS) if len(minhash._near_here(other[None], own, s))]
+        assert len(here) == (off < 2 * minhash.CHUNKS)
+        for slot in here:
+            kept = [i for part in parts if slot in part for i in part if i != slot]
+            assert (own[kept] == other[kept]).all()
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "materialise", lambda df, label: (written.append(label), materialise(df, label))[1])
+    stars = spark.createDataFrame([(1, 2), (1, 3), (5, 9)], "a long, b long")
+    assert sorted(map(tuple, components.components(stars).collect())) == [(1, 1), (2, 1), (3, 1), (5, 5), (9, 5)]
+    assert written == ["edges", "roots"]
+    chain = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(30, 30)], "a long, b long")
+    assert sorted(map(tuple, components.components(chain).collect())) == [(i, 0) for i in range(21)]
