@@ -260,3 +260,37 @@ def test_groups_of_blocks_send_only_what_reaches_the_kth_score(spark, monkeypatc
     assert dict(got) == {i: set(n) for i, n in brute(ids, v, 4).items()}
     # Every query held k rows for each of the 30 blocks it met; now its own group's and better ones.
     assert 480 * 4 <= sent["rows"].count() < 2 * 480 * 4
+
+
+def test_lists_of_whole_scores_need_one_shuffle_by_playlist(spark):
+    rows = [(1, "a", 0), (1, "b", 1), (1, "a", 2), (2, "b", 0), (2, "é", 1), (3, None, 0), (3, "c", 1), (None, "a", 0), (None, "d", 1), (4, "z", 0)]
+    links = spark.createDataFrame(rows, "pid bigint, track_uri string, pos bigint")
+    near = sequences.context_similarity(links, 6, popularity=True)
+    popularity = features.track_popularity(links)
+    popular = features.popular_tracks(popularity, 5)
+    by_row = candidates.neighbour_lists(near, None, 6).cache()
+    whole = candidates.neighbour_lists(near, None, 6, millionths=True).cache()
+    seeds, playlists = candidates.seed_tracks(links).cache(), links.select("pid").distinct()
+    key = ["pid", "cand_rank"]
+    for k, cap in ((1, 2), (9, 9)):
+        want = candidates.candidates(seeds, by_row, k)
+        got = candidates.candidates(seeds, whole, k)
+        assert got.orderBy(*key).collect() == want.select(*got.columns).orderBy(*key).collect()
+        want = candidates.merge_candidates(want, playlists, popular, cap)
+        got = candidates.merged_candidates(seeds, whole, playlists, popular, k, cap)
+        assert got.orderBy(*key).collect() == want.select(*got.columns).orderBy(*key).collect()
+        tables = [candidates.candidate_features(links, lists, popularity, popular, max_cands=cap, seeds_in_truth=True)
+                  for lists in (by_row, whole)]
+        assert tables[0].orderBy(*key).collect() == tables[1].orderBy(*key).collect()
+    plan = tables[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "windowspecdefinition(pid" not in plan and "posexplode" not in plan
+
+
+def test_numbered_tracks_have_the_same_neighbours(spark, links):
+    coded, tracks = sequences.code_tracks(links)
+    assert [r.code for r in tracks.orderBy("track_uri").collect()] == list(range(tracks.count()))
+    edges = sequences.context_similarity(coded, 6, popularity=True).cache()
+    want = sequences.context_similarity(links, 6, popularity=True)
+    got = sequences.named(edges, tracks).select(*want.columns)
+    assert dict(edges.dtypes)["neighbour"] == "int"
+    assert got.orderBy("track_uri", "rank").collect() == want.orderBy("track_uri", "rank").collect()
