@@ -36,6 +36,7 @@ QUANTILE, SLACK, LEAST_LIMIT, MOST_LIMIT, FEW_ROWS = 0.99, 1.5, 0.5, 0.6, 50
 SHORT = 128  # grams at which sampling alone takes a cosine of 1 to 0.7
 _SHARPNESS = 20.0  # of the score: e-fold for 0.05 of cosine
 _CHUNK = 1 << 18  # characters hashed at a time
+_ROWS = 64  # texts whose vectors a task holds at a time
 
 
 @dataclass
@@ -154,6 +155,27 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, clusters: int = C
                      np.array([r.limit for r in learned]))
 
 
+def classified(texts: pd.Series, model: Centroids, max_distance: float = MAX_DISTANCE) -> pd.DataFrame:
+    """lang_pred, score and rejected of each text; vectors are held of ``_ROWS`` texts at a time."""
+    names = sorted(set(model.languages))
+    owner = np.array([names.index(x) for x in model.languages], int)
+    known = texts.map(has_letter).to_numpy(bool)
+    pred, score, distance = np.full(len(texts), "und", object), np.zeros(len(texts)), np.ones(len(texts))
+    strange = np.zeros(len(texts), bool)
+    rows = np.flatnonzero(known) if names else []
+    for part in (rows[i:i + _ROWS] for i in range(0, len(rows), _ROWS)):
+        counts = np.stack([gram_counts(t) for t in texts.iloc[part]])
+        vectors = _unit(counts * model.idf)
+        cosine = vectors @ model.rows.T
+        best = np.stack([cosine[:, owner == i].max(axis=1) for i in range(len(names))], axis=1)
+        pred[part] = np.array(names, object)[best.argmax(axis=1)]
+        share = np.exp(_SHARPNESS * (best - best.max(axis=1, keepdims=True)))
+        score[part] = 1 / share.sum(axis=1)
+        distance[part] = 1 - best.max(axis=1)
+        strange[part] = stretched(cosine.max(axis=1), counts.sum(axis=1)) > model.limits[cosine.argmax(axis=1)]
+    return pd.DataFrame({"lang_pred": pred, "score": score, "rejected": (pred == "und") | (distance > max_distance) | strange})
+
+
 def predict(docs: DataFrame, model: Centroids, max_distance: float = MAX_DISTANCE, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and rejected; columns of these names are replaced.
 
@@ -162,26 +184,10 @@ def predict(docs: DataFrame, model: Centroids, max_distance: float = MAX_DISTANC
     centroid's limit or ``max_distance``. Equal cosines go to the language first
     in the alphabet.
     """
-    names = sorted(set(model.languages))
-    owner = np.array([names.index(x) for x in model.languages], int)
-
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            known = texts.map(has_letter).to_numpy(bool)
-            pred, score, distance = np.full(len(texts), "und", object), np.zeros(len(texts)), np.ones(len(texts))
-            strange = np.zeros(len(texts), bool)
-            if known.any() and names:
-                counts = np.stack([gram_counts(t) for t in texts[known]])
-                vectors = _unit(counts * model.idf)
-                cosine = vectors @ model.rows.T
-                best = np.stack([cosine[:, owner == i].max(axis=1) for i in range(len(names))], axis=1)
-                pred[known] = np.array(names, object)[best.argmax(axis=1)]
-                share = np.exp(_SHARPNESS * (best - best.max(axis=1, keepdims=True)))
-                score[known] = 1 / share.sum(axis=1)
-                distance[known] = 1 - best.max(axis=1)
-                strange[known] = stretched(cosine.max(axis=1), counts.sum(axis=1)) > model.limits[cosine.argmax(axis=1)]
-            yield pd.DataFrame({"lang_pred": pred, "score": score, "rejected": (pred == "und") | (distance > max_distance) | strange})
+            yield classified(texts, model, max_distance)
 
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "rejected")]
     held = fresh(docs.columns, "_found")

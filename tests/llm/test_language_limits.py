@@ -1,7 +1,10 @@
 """Rejection by distance: languages that were not learned, noise, and labelled rows that stay."""
 
 import os
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from cadenza.llm import langid
@@ -34,3 +37,17 @@ def test_foreign_languages_and_noise_are_rejected_and_labelled_rows_stay(spark):
     kept = [not r.rejected for r in langid.predict(docs.filter(held_out), model).collect()]
     print("labelled held-out rows kept", sum(kept), "of", len(kept))
     assert sum(kept) >= 0.98 * len(kept)
+
+
+def test_a_batch_of_texts_is_not_held_as_vectors_whole():
+    rng = np.random.default_rng(1)
+    rows = rng.random((8, langid.DIMS))
+    model = langid.Centroids(["a", "b"] * 4, rows / np.linalg.norm(rows, axis=1, keepdims=True), np.ones(langid.DIMS), np.full(8, 0.6))
+    texts = pd.Series([None, "123", *OWN, *FOREIGN] * 43)
+    tracemalloc.start()
+    got = langid.classified(texts, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16_000_000  # 512 vectors of 4096 doubles are 17 MB, and four such arrays were held
+    alone = pd.concat([langid.classified(texts[i:i + 12], model) for i in range(0, len(texts), 12)], ignore_index=True)
+    assert (got.lang_pred == alone.lang_pred).all() and np.allclose(got.score, alone.score) and (got.rejected == alone.rejected).all()
