@@ -48,3 +48,23 @@ def test_search_is_fitted_and_judged_on_whole_parts(spark, tables, monkeypatch):
     with pytest.raises(Stop):
         recommend.random_search(spark, tables)
     assert seen == {"train": of_part(spark, tables, "train"), "valid": of_part(spark, tables, "val")}
+
+
+def test_unseen_playlists_are_ranked_by_trees_fitted_on_the_whole_train_part(spark, tables, monkeypatch):
+    seen = {}
+
+    def fit(features, **options):
+        seen.update(train=pids(features))
+        raise Stop
+
+    monkeypatch.setattr(recommend, "TRAIN_PLAYLISTS", 3)
+    monkeypatch.setattr(ranking, "fit_ranker", fit)
+    with pytest.raises(Stop):
+        recommend.rank_unseen_playlists(spark, tables)
+    assert seen["train"] == of_part(spark, tables, "train")
+
+
+def test_every_tree_sees_all_rows(spark):
+    rows = [(i % 50, i, i / 7, i % 2, 4, int(i % 5 == 0)) for i in range(200)]
+    table = spark.createDataFrame(rows, "cand_rank int, popularity bigint, t2v_score double, seed_overlap int, playlist_len bigint, label int")
+    assert ranking.fit_ranker(table, 2, 0.1, 2).stages[-1].getSubsamplingRate() == 1.0
